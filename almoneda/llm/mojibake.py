@@ -24,6 +24,9 @@ READ = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "mac_roman",
 #: A word: ASCII letters and digits and anything beyond ASCII. Garbling leaves ASCII as it is, so ASCII punctuation separates.
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]*[\x{80}-\x{10FFFF}][0-9A-Za-z\x{80}-\x{10FFFF}]*"
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]*[\x80-\U0010FFFF][0-9A-Za-z\x80-\U0010FFFF]*")
+#: Marks a chain whose invisible characters were lost afterwards.
+LOST = "-"
+_UNSEEN = re.compile("[\x80-\x9f\xad]")
 _RUN = r"[\x{80}-\x{10FFFF}]+"
 
 
@@ -85,6 +88,8 @@ def garble(text: str, chain: tuple[str, ...]) -> str | None:
 def ungarble(text: str, chain: tuple[str, ...]) -> str | None:
     """The text that the chain turns into this one, or None. Lossy chains (read as UTF-8 with replacements) have no inverse."""
     out = text
+    if chain[-1] == LOST:
+        return None
     for w, r in reversed(list(zip(chain[::2], chain[1::2], strict=True))):
         if r == "utf-8":
             return None
@@ -108,6 +113,9 @@ def _forms(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 # A fragment (characters beyond ASCII, without the word around them) tells something only if it became a sequence.
                 if g is not None and (not fragment or len(g) > len(w) or "�" in g):
                     out.append((g, w, name, n, fragment))
+                    # Invisible characters of a garbled form may have been lost since.
+                    if not fragment and (bare := _UNSEEN.sub("", g)) != g and bare and not bare.isascii():
+                        out.append((bare, w, f"{name}|{LOST}", n, False))
         yield pd.DataFrame(out, columns=["g", "w", "chain", "n", "parte"])
 
 

@@ -2,13 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almoneda.functions.normalize import CIF_FORM, cif
 from almoneda.llm.bpe import encode_corpus
-from almoneda.llm.lookalike import normalized
+from almoneda.llm.linkage import link_spellings
+from almoneda.llm.lookalike import canonical, normalized
 from almoneda.llm.mojibake import garbled_documents, restored_documents
-from almoneda.plans.runtime import table
+from almoneda.llm.names import ends_whole
+from almoneda.llm.survivors import cut_names, elect, judged_names, pivot_back
+from almoneda.plans.runtime import materialize, maybe_broadcast, table
+
+#: Seconds in which a vote loses half its weight. The survivor asked for is the newest usable value, whatever older ones agree on: a
+#: second is below any distance between two deliveries.
+HALF_LIFE_S = 1.0
+#: Amounts at or beyond which a total is a stand-in, and the years a date may have.
+AMOUNTS, YEARS = (0.01, 9999999999), (1990, 2090)
+
+
+def _canonical_codes(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: canonical(v, True))
+
+
+def with_cif(df: DataFrame, column: str) -> DataFrame:
+    """Adds ``cif``: the usable CIF, also of one written in other characters; else null. Only odd values go through Python."""
+    plain = F.coalesce(F.col(column).rlike(r"^[\x00-\x7F]*\z"), F.lit(True))
+    code = lambda c: F.when(cif(c).rlike(CIF_FORM), cif(c))
+    odd = df.where(~plain).withColumn("cif_limpio", F.pandas_udf(_canonical_codes, "string")(column))
+    return df.where(plain).withColumn("cif_limpio", F.col(column)).unionByName(odd).withColumn("cif_usable", code("cif_limpio")).drop("cif_limpio")
+
+
+def _named(a: str, b: str) -> Column:
+    return F.col(a).alias(b)
+
+
+def _award_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "adjudicaciones").select("fila_id", "licitacion_id", "lote", "cif_adjudicatario", "adjudicatario", "updated_at")
+    group = F.concat_ws("\x1f", F.lit("adjudicaciones"), *[F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for k in ("licitacion_id", "lote", "cif_adjudicatario")])
+    a = with_cif(a, "cif_adjudicatario").withColumn("grupo", group)
+    return a.select("grupo", _named("fila_id", "registro"), _named("updated_at", "momento"), _named("adjudicatario", "valor"), "cif_usable", F.coalesce("cif_usable", "grupo").alias("dueno"), F.col("cif_usable").rlike("^[A-Z]").alias("empresa"))
+
+
+def _survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners: grupo, campo, valor, registro, votos."""
+    awards = materialize(_award_names(spark, sf_dir), "award-names")
+    trust = F.broadcast(table(spark, sf_dir, "fuentes"))  # a fixed table of four rows
+    c = table(spark, sf_dir, "competidores").withColumn("k", cif("cif")).where(F.col("k").rlike(CIF_FORM)).join(trust, "fuente", "left")
+    c = c.withColumn("grupo", F.concat_ws("\x1f", F.lit("competidores"), "k"))
+    firms = c.select("grupo", _named("ficha_id", "registro"), _named("updated_at", "momento"), _named("nombre_canonico", "valor"), _named("k", "cif_usable"), _named("k", "dueno"), F.col("k").rlike("^[A-Z]").alias("empresa"), "confianza")
+    names = firms.unionByName(awards.withColumn("confianza", F.lit(1)))
+    names = materialize(judged_names(names), "names")
+    whole = names.where("posible").join(cut_names(names, "dueno"), ["dueno", "norma"], "left_anti")
+    field = F.when(F.col("grupo").startswith("competidores"), "nombre_canonico").otherwise("adjudicatario")
+    long = whole.select("grupo", field.alias("campo"), "norma", "valor", "registro", "momento", "confianza")
+    amount, dates = F.col("importe_total_sin_iva"), ("primera_adjudicacion", "ultima_adjudicacion")
+    facts = [F.struct(F.lit("importe_total_sin_iva").alias("campo"), F.when((amount > AMOUNTS[0]) & (amount < AMOUNTS[1]), amount.cast("string")).alias("valor"))]
+    facts += [F.struct(F.lit(d).alias("campo"), F.when(F.year(d).between(*YEARS), F.col(d).cast("string")).alias("valor")) for d in dates]
+    unpivoted = c.select("grupo", _named("ficha_id", "registro"), _named("updated_at", "momento"), "confianza", F.explode(F.array(*facts)).alias("f")).where("f.valor is not null")
+    long = long.unionByName(unpivoted.select("grupo", "f.campo", F.col("f.valor").alias("norma"), "f.valor", "registro", "momento", "confianza"))
+    groups = awards.select("grupo").unionByName(c.select("grupo")).groupBy("grupo").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grupo")
+    return elect(long.join(groups, "grupo", "left_semi"), HALF_LIFE_S)
+
+
+FIELDS = ["nombre_canonico", "importe_total_sin_iva", "primera_adjudicacion", "ultima_adjudicacion", "adjudicatario"]
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survivors(spark, sf_dir).select(F.substring_index("grupo", "\x1f", 1).alias("tabla"), F.col("registro").alias("registro_id"), "campo")
+
+
+def p1_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving records, one a group."""
+    return pivot_back(_survivors(spark, sf_dir), FIELDS)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = with_cif(table(spark, sf_dir, "competidores").select("ficha_id", "cif", "nombre_canonico", "nombre_busqueda"), "cif")
+    spelled = F.explode(F.array("nombre_canonico", "nombre_busqueda")).alias("texto")
+    c = materialize(c.select("ficha_id", "cif_usable", spelled).where("texto is not null"), "competitor-names")
+    a = with_cif(table(spark, sf_dir, "adjudicaciones").select("fila_id", "cif_adjudicatario", "adjudicatario"), "cif_adjudicatario").where("adjudicatario is not null")
+    a = materialize(a.select("fila_id", "cif_usable", F.col("adjudicatario").alias("texto")), "winner-names")
+    listed = c.where("cif_usable is not null").select(F.col("cif_usable").alias("clave")).distinct()
+    # A registered company's whole names, in either table.
+    known = c.select("cif_usable", "texto").unionByName(a.select("cif_usable", "texto")).where("cif_usable is not null").distinct().mapInPandas(_whole, "clave string, texto string")
+    known = known.join(maybe_broadcast(materialize(listed, "listed")), "clave", "left_semi")
+    asked = a.where("cif_usable is null").select(F.lit("adjudicaciones").alias("tabla"), F.col("fila_id").alias("registro_id"), "texto")
+    asked = asked.unionByName(c.where("cif_usable is null").select(F.lit("competidores").alias("tabla"), F.col("ficha_id").alias("registro_id"), "texto"))
+    links = materialize(link_spellings(asked, known), "links")
+    found = asked.join(maybe_broadcast(links), "texto").groupBy("tabla", "registro_id").agg(F.max_by("clave", F.struct("parecido", "clave")).alias("cif"))
+    return found.select("tabla", "registro_id", "cif")
+
+
+def _whole(batches):
+    for b in batches:
+        ok = [ends_whole(t, c[0].isalpha()) for c, t in zip(b["cif_usable"], b["texto"], strict=True)]
+        yield b[ok].rename(columns={"cif_usable": "clave"})[["clave", "texto"]]
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,5 +121,5 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_documents(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_clean, p8_ids, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p4_found, p7_found, p7_clean, p8_ids, p10_found, p10_restored)}
 SQL: dict[str, str] = {}
