@@ -37,6 +37,7 @@ FORMS = {
     "SOCIEDADANONIMALABORAL": "SAL", "SOCIEDADLIMITADALABORAL": "SLL", "SOCIEDADCOOPERATIVA": "COOP", "SOCIEDADANONIMAUNIPERSONAL": "SA", "GMBH": "GMBH",
 }
 _TAILS = {"EMPRESA", "YCIA", "CIA", "SOCIEDAD", "LIMITADA"}
+_LINKING = {"Y", "&", "DE", "DEL", "LA", "SR", "SRA", "DON", "DNA"}
 _TOKEN = re.compile(r"[^\W_]+|&")
 
 
@@ -126,7 +127,7 @@ def trade_word(token: str) -> str | None:
         return "COMERCIAL" if token == "COM" else min(starts, key=len)
     short = [w for w in _TRADE_WORDS if w[0] == token[0] and len(token) < len(w) and _subsequence(token, w) and token[-1] in w[len(w) // 2 :]]
     # Drawn together: consonants side by side, as no whole word of a name would have them.
-    if short and (re.search(r"[^AEIOU]{2}[^AEIOU]", token) or len(token) >= 6 or token in ("CIA", "CIAL", "HNOS", "INFCA", "TPTES", "TRTES", "SVCIOS", "SEGDAD", "INGRIA")):
+    if short and (re.search(r"[^AEIOU]{2}", token) or len(token) >= 6 or token in ("CIA", "CIAL")):
         if token in ("CIA", "CIAL"):
             return "COMPANIA" if token == "CIA" else "COMERCIAL"
         return max(short, key=lambda w: (w[-1] == token[-1], len(token) / len(w)))
@@ -151,18 +152,18 @@ def parse(text: str) -> Name:
     if form is None:
         form, n = form_at(tokens)
         tokens = tokens[: len(tokens) - n]
-    trade: str | None = None
+    # A whole trade word outweighs a long abbreviation, that a short one; what belongs to another trade than the strongest is a name.
+    found = {t: w for t in tokens if len(t) > 1 and (w := trade_word(t)) is not None}
+    trade = max((((t == w) * 2 + (len(t) > 3), _TRADE_WORDS[w]) for t, w in found.items()), default=(0, None))[1]
     words: list[str] = []
     initials: list[str] = []
     for i, t in enumerate(tokens):
-        if t in ("Y", "&", "DE", "DEL", "LA", "SR", "SRA", "DON", "DNA"):
+        if t in _LINKING:
             continue
-        if t in ("O",) and i + 1 < len(tokens) and any(trade_word(x) == "CAMINOS" for x in tokens[i + 1 : i + 3]):
+        if t == "O" and any(found.get(x) == "CAMINOS" for x in tokens[i + 1 : i + 3]):
             trade = "OBRAS Y CAMINOS"
+        elif t in found and _TRADE_WORDS[found[t]] == trade:
             continue
-        w = trade_word(t)
-        if w is not None:
-            trade = trade or _TRADE_WORDS[w]
         elif len(t) == 1:
             initials.append(t)
         elif t in NICKNAMES:

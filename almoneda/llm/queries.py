@@ -10,6 +10,7 @@ from almoneda.functions.normalize import CIF_FORM, cif
 from almoneda.llm.bpe import encode_corpus
 from almoneda.llm.linkage import link_spellings
 from almoneda.llm.lookalike import canonical, normalized
+from almoneda.llm.mixing import mix
 from almoneda.llm.mojibake import garbled_documents, restored_documents
 from almoneda.llm.names import ends_whole
 from almoneda.llm.survivors import cut_names, elect, judged_names, pivot_back
@@ -113,6 +114,19 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = materialize(encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", also={"source": F.col("source")}), "corpus-ids")
+    return mix(docs, table(spark, sf_dir, "pesos_fuente"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[0].withColumnRenamed("doc", "doc_id")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garbled_documents(table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("doc").alias("doc_id"))
 
@@ -121,5 +135,5 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_documents(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p4_found, p7_found, p7_clean, p8_ids, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p4_found, p7_found, p7_clean, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
 SQL: dict[str, str] = {}
