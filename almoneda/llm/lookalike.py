@@ -127,7 +127,10 @@ def canonical(text: str | None, code: bool = False) -> str | None:
         out += [text[at:a], _canonical(text[a:b])]
         at = b
     out.append(text[at:])
-    return _unmask("".join(out), code)
+    spliced = "".join(out)
+    unmasked = _unmask(spliced, code)
+    # A letter made Latin may compose with an accent that its look-alike couldn't take.
+    return unmasked if unmasked == spliced else unicodedata.normalize("NFC", unmasked)
 
 
 def normalized(df: DataFrame, key: str, fields: dict[str, bool], changed_only: bool = False) -> DataFrame:

@@ -22,8 +22,9 @@ WRITTEN = ("utf-8", "cp1252", "mac_roman", "cp850", "cp437")
 READ = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "mac_roman", "utf-8")
 
 #: A word: ASCII letters and digits and anything beyond ASCII. Garbling leaves ASCII as it is, so ASCII punctuation separates.
-WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]*[\x{80}-\x{10FFFF}][0-9A-Za-z\x{80}-\x{10FFFF}]*"
-_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]*[\x80-\U0010FFFF][0-9A-Za-z\x80-\U0010FFFF]*")
+#: The look-behind and the possessive repeats let every place be tried once only, so that long runs of letters cost no more than their length.
+WORD = r"(?<![0-9A-Za-z\x{80}-\x{10FFFF}])[0-9A-Za-z]*+[\x{80}-\x{10FFFF}][0-9A-Za-z\x{80}-\x{10FFFF}]*+"
+_WORD = re.compile(r"(?<![0-9A-Za-z\x80-\U0010FFFF])[0-9A-Za-z]*+[\x80-\U0010FFFF][0-9A-Za-z\x80-\U0010FFFF]*+")
 #: Marks a chain whose invisible characters were lost afterwards.
 LOST = "-"
 _UNSEEN = re.compile("[\x80-\x9f\xad]")

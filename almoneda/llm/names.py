@@ -98,19 +98,32 @@ def _subsequence(a: str, b: str) -> bool:
 
 def edits(a: str, b: str, most: int = 99) -> int:
     """Optimal string alignment distance, given up beyond ``most``."""
+    if a == b:
+        return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    far = most + 1
     two: list[int] = []
-    one = list(range(len(b) + 1))
+    one = [min(j, far) for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        now = [i]
-        for j, y in enumerate(b, 1):
-            d = min(one[j] + 1, now[-1] + 1, one[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, two[j - 2] + 1)
-            now.append(d)
-        if min(now) > most:
-            return most + 1
+        # Only cells within ``most`` of the diagonal can end within it.
+        low, high = max(1, i - most), min(len(b), i + most)
+        now = [far] * (len(b) + 1)
+        now[0] = min(i, far)
+        best = now[0]
+        for j in range(low, high + 1):
+            y = b[j - 1]
+            if x == y:
+                d = one[j - 1]
+            else:
+                d = 1 + min(one[j], now[j - 1], one[j - 1])
+                if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2] and two[j - 2] + 1 < d:
+                    d = two[j - 2] + 1
+            now[j] = d
+            if d < best:
+                best = d
+        if best > most:
+            return far
         two, one = one, now
     return one[-1]
 
