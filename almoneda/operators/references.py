@@ -53,18 +53,19 @@ def _bitmaps(codes: DataFrame, by: list[str]) -> DataFrame:
 
 def _and_not(refs: pd.DataFrame, parents: pd.DataFrame) -> pd.DataFrame:
     """Of one key range: references of a period AND NOT the parents known before that period. A range has a few bitmaps a period."""
-    known, tables, periods, codes, left = np.zeros(RANGE, bool), [], [], [], 0
+    known, found, codes, left = np.zeros(RANGE, bool), [], [], 0
     parents = parents.sort_values("periodo")
     months, bits = parents["periodo"].tolist(), parents["bits"].tolist()
-    for r in refs.sort_values("periodo").itertuples():
+    refs = refs.sort_values("periodo")
+    for r in refs.itertuples():
         while left < len(months) and months[left] < r.periodo:
             known |= unpack(bits[left])
             left += 1
         at = np.flatnonzero(unpack(r.bits) & ~known)
         codes.append((r.rango - 1) * RANGE + at + 1)  # codes and ranges count from 1
-        tables += [r.tabla] * len(at)
-        periods += [r.periodo] * len(at)
-    return pd.DataFrame({"tabla": tables, "periodo": periods, "code": np.concatenate(codes) if codes else np.array([], np.int64)})
+        found.append(len(at))
+    names = {c: np.repeat(np.array(refs[c].tolist(), object), found) for c in ("tabla", "periodo")}
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in names.items()} | {"code": np.concatenate(codes) if codes else np.array([], np.int64)})
 
 
 def orphan_references(refs: DataFrame, parents: DataFrame, withdrawals: DataFrame, salts: int = 8) -> DataFrame:
