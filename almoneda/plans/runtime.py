@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import io
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +54,25 @@ def estimated_bytes(df: DataFrame) -> int:
 def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast a side only if the optimizer's estimate is within the limit; else leave the join to shuffle."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, once a session, through the shared folder: they need no copy of it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent.parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, str(f.relative_to(home.parent)))
+    at = f"{fresh_path(spark, 'code')}/almoneda-code.zip"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(at)
+    _SHIPPED.add(app)
