@@ -12,6 +12,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almoneda.plans.runtime import materialize, maybe_broadcast
+
 PART, NONE = "__part", "none"
 
 
@@ -66,6 +68,21 @@ class DeliveryStore:
         parts = self.manifest()["parts"]
         return self._read(parts, self.keys) if parts else None
 
+    def compact(self) -> int:
+        """Joins the pieces that batches have added to a month into one partition; returns how many partitions are left."""
+        manifest = self.manifest()
+        months: dict[str, list[str]] = {}
+        for p in manifest["parts"]:
+            months.setdefault(p.partition("+")[0], []).append(p)
+        many = {p: manifest["parts"][p] for ps in months.values() if len(ps) > 1 for p in ps}
+        if not many:
+            return len(manifest["parts"])
+        version = manifest["version"] + 1
+        self._read(many).withColumn(PART, F.split(PART, r"\+")[0]).write.partitionBy(PART).parquet(f"{self.root}/v{version}")
+        kept = {p: v for p, v in manifest["parts"].items() if p not in many} | {m: version for m, ps in months.items() if len(ps) > 1}
+        self._publish({"version": version, "parts": kept})
+        return len(kept)
+
     def _winners(self, rows: DataFrame) -> DataFrame:
         """One row per key by a partial (map-side combined) minimum: no key's rows are gathered in one task."""
         order = F.struct(F.col(self.received).isNull(), F.col(self.received), F.col(self.row_id))
@@ -74,13 +91,16 @@ class DeliveryStore:
         return best.select(*self.keys, *[F.col("__row").getField(c).alias(c) for c in rest]).select(*rows.columns)
 
     def apply(self, incoming: DataFrame) -> dict:
-        """Takes a batch in; returns what happened: the affected partitions and the version."""
+        """Takes a batch in; returns what happened: the affected partitions and the version.
+
+        The look-up scans the key columns of the history only; a small batch's keys are broadcast to that scan, so that history isn't
+        shuffled, and of the other columns only the affected partitions are read."""
         manifest = self.manifest()
-        fresh = self._winners(incoming)
+        fresh = materialize(self._winners(incoming), "batch")  # used to look up and to write
         affected: dict[str, int] = {}
         if manifest["parts"]:
             same = [F.col(f"i.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
-            touched = self.index().alias("i").join(fresh.select(*self.keys).alias("n"), same, "left_semi").select(PART).distinct()
+            touched = self.index().alias("i").join(maybe_broadcast(fresh.select(*self.keys)).alias("n"), same, "left_semi").select(PART).distinct()
             names = {r[0] for r in touched.collect()}  # names of months, not keys
             affected = {p: v for p, v in manifest["parts"].items() if p in names}
         rows = fresh

@@ -59,6 +59,11 @@ def test_store_rewrites_only_affected_partitions(spark):
     assert kept(store) == [("a", "", 1), ("b", "", 2), ("c", "", 3), ("new", "", 5)]
     store.apply(df([("new", -1, 6), ("a", -2, 7)]))
     assert [k[2] for k in kept(store)] == [7, 2, 3, 6]
+    store.apply(df([("z", 1002, 8)]))
+    assert any("+" in p for p in store.manifest()["parts"])
+    before = kept(store)
+    assert store.compact() == len({p.partition("+")[0] for p in store.manifest()["parts"]}) and kept(store) == before
+    assert not any("+" in p for p in store.manifest()["parts"]) and store.compact() == len(store.manifest()["parts"])
 
 
 def test_store_empty(spark):
