@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoneda.llm.names import ends_whole, is_stand_in, squeezed
-from almoneda.plans.runtime import materialize
+from almoneda.plans.runtime import materialize, maybe_broadcast
 
 #: Length of the letters that a cut name surely shares with the whole one: names are compared within those that begin alike.
 HEAD = 4
@@ -31,6 +31,7 @@ def judged_names(long: DataFrame) -> DataFrame:
 
     distinct = long.where("valor is not null").select("valor", "empresa").distinct()
     judged = materialize(distinct.mapInPandas(run, "valor string, empresa boolean, norma string, posible boolean"), "judged-names")
+    judged = maybe_broadcast(judged)
     return long.join(judged, (long["valor"] == judged["valor"]) & long["empresa"].eqNullSafe(judged["empresa"])).drop(judged["valor"]).drop(judged["empresa"])
 
 
