@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almoneda.functions import normalize as n
+from almoneda.functions.labels import RESULTS, SYSTEMS, TYPES, label
 from almoneda.operators import catalogue, merge, search
 from almoneda.operators.search import Search
 from almoneda.plans.runtime import table
@@ -372,16 +373,63 @@ def c6_c12_identifiers(spark, sf):
     return c.select("ficha_id", n.cif("cif").alias("cif"), n.looks_like_cif("cif").alias("parece"), n.usable_cif("cif").alias("util"))
 
 
-#: Result codes and their labels.
-LABELS = {"1": "Adjudicado provisionalmente", "2": "Adjudicado definitivamente", "3": "Desierto", "4": "Desistimiento", "5": "Renuncia", "8": "Adjudicado", "9": "Formalizado"}
+def _cases(codes: dict[str, str], column: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in codes.items()) + " END"
 
 
-@query("SELECT fila_id, CASE resultado_code " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items()) + " END AS etiqueta FROM adjudicaciones")
-def p7_labels(spark, sf):
-    return _adj(spark, sf).select("fila_id", F.try_element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), "resultado_code").alias("etiqueta"))
+@query(f"SELECT fila_id, {_cases(RESULTS, 'resultado_code')} AS etiqueta, {_cases(SYSTEMS, 'sistema_contratacion')} AS sistema, {_cases(TYPES, 'tipo_contrato')} AS tipo FROM adjudicaciones")
+def code_labels(spark, sf):
+    return _adj(spark, sf).select("fila_id", label(RESULTS, "resultado_code").alias("etiqueta"), label(SYSTEMS, "sistema_contratacion").alias("sistema"), label(TYPES, "tipo_contrato").alias("tipo"))
 
 
-QUERIES["result_labels"], SQL["result_labels"] = QUERIES.pop("p7_labels"), SQL.pop("p7_labels")
+@query(f"""
+SELECT fila_id, date_diff('day', DATE '2025-06-01', fecha_fin_plazo::DATE)::INTEGER AS dias, CASE WHEN fecha_fin_plazo IS NULL OR fecha_fin_plazo::DATE < DATE '2025-06-01' THEN 'ninguna'
+       WHEN fecha_fin_plazo::DATE < DATE '2025-06-04' THEN 'roja' WHEN fecha_fin_plazo::DATE < DATE '2025-06-08' THEN 'ambar' ELSE 'verde' END AS urgencia,
+       coalesce(primera_vez::DATE >= DATE '2025-06-01' - 7, false) AS nueva FROM licitaciones""")
+def c15_c20_days(spark, sf):
+    """Days left, urgency by them, and whether a notice is new."""
+    today = F.lit(AS_OF).cast("date")
+    days = F.datediff(F.to_date("fecha_fin_plazo"), today)
+    urgency = F.when(days.isNull() | (days < 0), "ninguna").when(days < 3, "roja").when(days < 7, "ambar").otherwise("verde")
+    return _lic(spark, sf).select("fila_id", days.alias("dias"), urgency.alias("urgencia"), F.coalesce(F.to_date("primera_vez") >= F.date_sub(today, 7), F.lit(False)).alias("nueva"))
+
+
+@query(f"SELECT licitacion_id, array_to_string(list_concat(list_filter(c, lambda x: starts_with(x, '45')), list_filter(c, lambda x: NOT starts_with(x, '45')))[1:6], ' ') AS visibles FROM (SELECT licitacion_id, unnested.c AS c FROM (SELECT licitacion_id, cpv FROM {_LATEST} WHERE cpv IS NOT NULL) t, LATERAL (SELECT list(x ORDER BY i) AS c FROM (SELECT x, min(i) AS i FROM (SELECT unnest(t.cpv) AS x, generate_subscripts(t.cpv, 1) AS i) GROUP BY x)) unnested)")
+def p10_code_order(spark, sf):
+    """Distinct codes in their order, those of a prefix first, six shown."""
+    rows = latest(spark, sf, "cpv").where("cpv is not null").withColumn("c", F.array_distinct("cpv"))
+    ours = F.concat(F.filter("c", lambda x: x.startswith("45")), F.filter("c", lambda x: ~x.startswith("45")))
+    return rows.select("licitacion_id", F.array_join(F.slice(ours, 1, 6), " ").alias("visibles"))
+
+
+QUERIES["code_order"], SQL["code_order"] = QUERIES.pop("p10_code_order"), SQL.pop("p10_code_order")
+
+
+@query("""
+SELECT a.cif_adjudicatario, count(DISTINCT a.licitacion_id) AS expedientes, count(DISTINCT a.licitacion_id) FILTER (d.estado = 'perdida') AS perdidos, sum(a.importe_sin_iva)::DECIMAL(30,2) AS importe
+FROM decisiones d JOIN adjudicaciones a USING (licitacion_id) WHERE a.cif_adjudicatario <> '' AND d.estado IN ('ganada', 'perdida', 'presentada') GROUP BY 1""")
+def a10_o6_rivals(spark, sf):
+    """Per winner, from one pre-aggregate per winner and file: files met in, files lost to it, amount."""
+    d = table(spark, sf, "decisiones").where(F.col("estado").isin("ganada", "perdida", "presentada")).select("licitacion_id", "estado")
+    per_file = _adj(spark, sf).where("cif_adjudicatario <> ''").join(d, "licitacion_id").groupBy("cif_adjudicatario", "licitacion_id").agg(F.max((F.col("estado") == "perdida").cast("int")).alias("perdido"), F.sum("importe_sin_iva").alias("importe"))
+    return per_file.groupBy("cif_adjudicatario").agg(F.count(F.lit(1)).alias("expedientes"), F.sum("perdido").cast("long").alias("perdidos"), F.sum("importe").cast("decimal(30,2)").alias("importe"))
+
+
+@query("""
+SELECT c.ficha_id, c.n_lotes, coalesce(a.lotes, 0) AS lotes_vistos, coalesce(a.importe, 0)::DECIMAL(30,2) AS importe_visto
+FROM competidores c LEFT JOIN (SELECT cif_adjudicatario AS k, count(*) AS lotes, sum(importe_sin_iva) AS importe FROM adjudicaciones GROUP BY 1) a ON c.cif = a.k""")
+def j12_a21_comparison(spark, sf):
+    """Every competitor's stored figures beside those of the awards; what is missing counts as 0."""
+    a = _adj(spark, sf).groupBy(F.col("cif_adjudicatario").alias("cif")).agg(F.count(F.lit(1)).alias("lotes"), F.sum("importe_sin_iva").alias("importe"))
+    zero = F.lit(0)
+    return table(spark, sf, "competidores").select("ficha_id", "cif", "n_lotes").join(a, "cif", "left").select("ficha_id", "n_lotes", F.coalesce("lotes", zero.cast("long")).alias("lotes_vistos"), F.coalesce("importe", zero.cast("decimal(30,2)")).cast("decimal(30,2)").alias("importe_visto"))
+
+
+@query(f"SELECT licitacion_id, fecha_fin_plazo FROM {_LATEST} ORDER BY fecha_fin_plazo < {TS} NULLS LAST, fecha_fin_plazo NULLS LAST, licitacion_id LIMIT 100")
+def o3_o8_soonest(spark, sf):
+    """The hundred that end soonest; ended ones and those without a date come last."""
+    past = F.col("fecha_fin_plazo") < F.lit(AS_OF).cast("timestamp_ntz")
+    return latest(spark, sf, "fecha_fin_plazo").orderBy(past.asc_nulls_last(), F.asc_nulls_last("fecha_fin_plazo"), "licitacion_id").limit(100).select("licitacion_id", "fecha_fin_plazo")
 
 
 # --- streams ------------------------------------------------------------------------------------------------------------------------
