@@ -21,10 +21,10 @@ from almoneda.plans.runtime import materialize, maybe_broadcast
 WRITTEN = ("utf-8", "cp1252", "mac_roman", "cp850", "cp437")
 READ = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "mac_roman", "utf-8")
 
-#: A word: ASCII letters and digits and anything beyond ASCII. Garbling leaves ASCII as it is, so ASCII punctuation separates.
+#: A word: ASCII letters and anything beyond ASCII. Garbling leaves ASCII as it is, so ASCII digits and punctuation separate.
 #: The look-behind and the possessive repeats let every place be tried once only, so that long runs of letters cost no more than their length.
-WORD = r"(?<![0-9A-Za-z\x{80}-\x{10FFFF}])[0-9A-Za-z]*+[\x{80}-\x{10FFFF}][0-9A-Za-z\x{80}-\x{10FFFF}]*+"
-_WORD = re.compile(r"(?<![0-9A-Za-z\x80-\U0010FFFF])[0-9A-Za-z]*+[\x80-\U0010FFFF][0-9A-Za-z\x80-\U0010FFFF]*+")
+WORD = r"(?<![A-Za-z\x{80}-\x{10FFFF}])[A-Za-z]*+[\x{80}-\x{10FFFF}][A-Za-z\x{80}-\x{10FFFF}]*+"
+_WORD = re.compile(r"(?<![A-Za-z\x80-\U0010FFFF])[A-Za-z]*+[\x80-\U0010FFFF][A-Za-z\x80-\U0010FFFF]*+")
 #: Marks a chain whose invisible characters were lost afterwards.
 LOST = "-"
 _UNSEEN = re.compile("[\x80-\x9f\xad]")
@@ -125,12 +125,13 @@ def words(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc"), F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)))).alias("w"))
 
 
-def garbled_words(by_doc: DataFrame, ratio: float = 3.0, letters: int = 2) -> DataFrame:
+def garbled_words(by_doc: DataFrame, ratio: float = 3.0, letters: int = 2, alone: float = 200.0) -> DataFrame:
     """(w, original, chains, fuerte): the corpus words that are garbled.
 
     A word is garbled if it is the garbled form of a word found in at least ``ratio`` times as many documents, or holds a fragment (a run
     of characters beyond ASCII) that is the garbled sequence of a run found that much more often. ``fuerte`` tells a match that can stand
-    alone: one by fragment, or of a word with at least ``letters`` ASCII letters; a lone symbol that may stand for another is none.
+    alone: one by fragment, or of a word with at least ``letters`` ASCII letters, or of a shorter one (a currency sign, a dash) whose
+    original is found in ``alone`` times as many documents; any other lone symbol may well stand for itself.
     """
     counts = by_doc.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     whole = materialize(counts.withColumn("parte", F.lit(False)), "words")
@@ -141,9 +142,9 @@ def garbled_words(by_doc: DataFrame, ratio: float = 3.0, letters: int = 2) -> Da
     forms = known.repartition("w").mapInPandas(_forms, "g string, w string, chain string, n long, parte boolean")
     pairs = forms.join(known.select(F.col("w").alias("g"), F.col("n").alias("n_g"), "parte"), ["g", "parte"]).where(F.col("n") >= F.col("n_g") * ratio)
     # Chains that give the same form from the same word stand together; there are a few dozen chains.
-    same = pairs.groupBy("g", "parte", "w").agg(F.max("n").alias("n"), F.collect_set("chain").alias("chains"))
-    best = materialize(same.groupBy("g", "parte").agg(F.max_by(F.struct("w", "chains"), F.struct("n", "w")).alias("o")), "verified")
-    by_word = best.where(~F.col("parte")).select(F.col("g").alias("w"), F.col("o.w").alias("original"), F.col("o.chains").alias("chains"), (F.length(F.regexp_replace(F.col("o.w"), "[^A-Za-z]", "")) >= letters).alias("fuerte"))
+    same = pairs.groupBy("g", "parte", "w").agg(F.max("n").alias("n"), F.max("n_g").alias("n_g"), F.collect_set("chain").alias("chains"))
+    best = materialize(same.groupBy("g", "parte").agg(F.max_by(F.struct("w", "chains", "n", "n_g"), F.struct("n", "w")).alias("o")), "verified")
+    by_word = best.where(~F.col("parte")).select(F.col("g").alias("w"), F.col("o.w").alias("original"), F.col("o.chains").alias("chains"), ((F.length(F.regexp_replace(F.col("o.w"), "[^A-Za-z]", "")) >= letters) | (F.col("o.n") >= F.col("o.n_g") * alone)).alias("fuerte"))
     by_run = of_word.join(best.where("parte").select(F.col("g").alias("r"), F.col("o.chains").alias("chains")), "r").groupBy("w").agg(F.array_distinct(F.flatten(F.collect_list("chains"))).alias("chains")).withColumn("original", F.lit(None).cast("string")).withColumn("fuerte", F.lit(True))
     both = by_word.unionByName(by_run).groupBy("w").agg(F.max("original").alias("original"), F.array_distinct(F.flatten(F.collect_list("chains"))).alias("chains"), F.max("fuerte").alias("fuerte"))
     return materialize(both, "garbled-words")

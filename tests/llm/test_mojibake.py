@@ -36,6 +36,11 @@ def test_found_and_restored(corpus):
     assert back[300] == "sound text, licitación duración"
 
 
+def test_a_lone_symbol_needs_much_better_attestation(spark):
+    rows = [(i, "cuesta 5 € hoy") for i in range(400)] + [(500, "cuesta 5 Ç hoy")] + [(600 + i, "art. § 3") for i in range(5)] + [(700 + i, "n.º 4") for i in range(60)]
+    assert [r.doc for r in garbled_documents(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()] == [500]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "k long, t string")
     assert garbled_documents(none, "k", "t").count() == 0 and restored_documents(none, "k", "t").count() == 0
