@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +21,8 @@ from almoneda.plans.runtime import materialize, maybe_broadcast, table
 #: Seconds in which a vote loses half its weight. The survivor asked for is the newest usable value, whatever older ones agree on: a
 #: second is below any distance between two deliveries.
 HALF_LIFE_S = 1.0
-#: Amounts at or beyond which a total is a stand-in, and the years a date may have.
-AMOUNTS, YEARS = (0.01, 9999999999), (1990, 2090)
+#: A total of at most the first is a stand-in, as is exactly the second (real totals go beyond it); the years a date may have.
+LEAST, FILLER, YEARS = Decimal("0.01"), Decimal("9999999999.99"), (1990, 2090)
 
 
 def _canonical_codes(values: pd.Series) -> pd.Series:
@@ -59,7 +61,7 @@ def _survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = F.when(F.col("grupo").startswith("competidores"), "nombre_canonico").otherwise("adjudicatario")
     long = whole.select("grupo", field.alias("campo"), "norma", "valor", "registro", "momento", "confianza")
     amount, dates = F.col("importe_total_sin_iva"), ("primera_adjudicacion", "ultima_adjudicacion")
-    facts = [F.struct(F.lit("importe_total_sin_iva").alias("campo"), F.when((amount > AMOUNTS[0]) & (amount < AMOUNTS[1]), amount.cast("string")).alias("valor"))]
+    facts = [F.struct(F.lit("importe_total_sin_iva").alias("campo"), F.when((amount > LEAST) & (amount != FILLER), amount.cast("string")).alias("valor"))]
     facts += [F.struct(F.lit(d).alias("campo"), F.when(F.year(d).between(*YEARS), F.col(d).cast("string")).alias("valor")) for d in dates]
     unpivoted = c.select("grupo", _named("ficha_id", "registro"), _named("updated_at", "momento"), "confianza", F.explode(F.array(*facts)).alias("f")).where("f.valor is not null")
     long = long.unionByName(unpivoted.select("grupo", "f.campo", F.col("f.valor").alias("norma"), "f.valor", "registro", "momento", "confianza"))

@@ -52,3 +52,26 @@ def test_dates_and_amounts_match_brute_force(spark, sf):
     got = {(r.registro_id, r.campo) for r in p1_found(spark, sf).collect() if r.campo not in ("nombre_canonico", "adjudicatario")}
     assert got == want
     assert p1_survivors(spark, sf).count() >= 1
+
+
+def test_totals_above_the_filler_are_real(spark, sf, tmp_path):
+    """Expected by hand: the newest total of each CIF that is none of the stand-ins, however large."""
+    import datetime as d
+    from decimal import Decimal
+    from pathlib import Path
+
+    for t in ("adjudicaciones", "fuentes"):
+        (tmp_path / f"{t}.parquet").symlink_to(Path(sf, f"{t}.parquet"))
+    data = [
+        (10, "A11111111", "5000000.00", 1), (11, "A11111111", "13000000000.50", 2),
+        (20, "B22222222", "46000000000.00", 1), (21, "B22222222", "9999999999.99", 2),
+        (30, "B33333333", "1.00", 1), (31, "B33333333", "9999999999.00", 2), (32, "B33333333", "0.01", 3), (33, "B33333333", "0.00", 4), (34, "B33333333", "-1.00", 5),
+        (40, "B44444444", "2.00", 1), (41, "B44444444", "123456789012345678901234.56", 2),
+        (50, "B55555555", "9999999999.99", 1), (51, "B55555555", "0.01", 2),
+        (60, "B66666666", "10000000000.00", 1), (61, "B66666666", None, 2),
+    ]
+    data = [(i, c, None if v is None else Decimal(v), d.datetime(2024, 1, day)) for i, c, v, day in data]
+    like = spark.read.parquet(f"{sf}/competidores.parquet")
+    rows = spark.createDataFrame(data, "ficha_id long, cif string, importe_total_sin_iva decimal(30,2), updated_at timestamp")
+    like.limit(0).unionByName(rows, allowMissingColumns=True).write.parquet(f"{tmp_path}/competidores.parquet")
+    assert {r.registro_id for r in p1_found(spark, str(tmp_path)).where("campo = 'importe_total_sin_iva'").collect()} == {11, 20, 31, 41, 60}
