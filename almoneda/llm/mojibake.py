@@ -2,7 +2,8 @@
 
 Every distinct word of the corpus is garbled under all encoding chains; the garbled forms are hash-joined with the distinct words. A
 word that is another, better attested word's garbled form is a candidate; candidates are verified by the chain's round trip, by how
-often either form occurs and by what else the document holds; verified originals are substituted.
+often either form occurs and by what else the document holds; verified originals are substituted. Copies of a text count once, and
+what decodes as UTF-8 to characters of the corpus is garbled however often it occurs.
 """
 
 from __future__ import annotations
@@ -108,60 +109,116 @@ def _forms(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     every = [(c, "|".join(c)) for c in chains()]
     for b in batches:
         out = []
-        for w, n, fragment in zip(b["w"], b["n"], b["parte"], strict=True):
+        for w, fragment in zip(b["w"], b["parte"], strict=True):
             for chain, name in every:
                 g = garble(w, chain)
                 # A fragment (characters beyond ASCII, without the word around them) tells something only if it became a sequence.
                 if g is not None and (not fragment or len(g) > len(w) or "�" in g):
-                    out.append((g, w, name, n, fragment))
+                    out.append((g, w, name, fragment))
                     # Invisible characters of a garbled form may have been lost since.
                     if not fragment and (bare := _UNSEEN.sub("", g)) != g and bare and not bare.isascii():
-                        out.append((bare, w, f"{name}|{LOST}", n, False))
-        yield pd.DataFrame(out, columns=["g", "w", "chain", "n", "parte"])
+                        out.append((bare, w, f"{name}|{LOST}", False))
+        yield pd.DataFrame(out, columns=["g", "w", "chain", "parte"])
+
+
+#: Chains whose way back proves itself: chance hardly makes bytes that decode strictly as UTF-8. Two signs of other characters than
+#: Western Europe's may do so by chance («ú is ǜ in Mac Roman), three together don't.
+_SURE = [c for c in chains() if set(c[::2]) == {"utf-8"}]
+_USUAL = frozenset(_encoding("cp1252")) - {chr(b) for b in range(0xA0)}
+_LONG = 3
+
+
+def _inverses(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = [(r, back, "|".join(c)) for r in b["r"] for c in _SURE if (back := ungarble(r, c)) is not None and (len(back) >= _LONG or _USUAL.issuperset(back))]
+        yield pd.DataFrame(out, columns=["r", "original", "chain"])
 
 
 def words(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, w): the distinct words beyond ASCII of each document."""
-    return docs.select(F.col(key).alias("doc"), F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)))).alias("w"))
+    """(doc, texto, ws): the distinct words beyond ASCII of each document that has any; ``texto`` is equal for equal texts only."""
+    ws = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)))
+    return docs.select(F.col(key).alias("doc"), F.sha2(text, 256).alias("texto"), ws.alias("ws")).where(F.size("ws") > 0)
+
+
+def sure_runs(runs: DataFrame) -> DataFrame:
+    """(r, chains): of the distinct runs (r), those that lead back, strictly decoded as UTF-8, to characters that occur in runs without
+    such a way back. Of several ways back that through most misreadings counts."""
+    inverse = materialize(runs.repartition("r").mapInPandas(_inverses, "r string, original string, chain string"), "inverses")
+    signs = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1)))).alias("c")
+    attested = runs.join(inverse, "r", "left_anti").select(signs("r")).distinct()
+    unknown = inverse.select("r", "original", signs("original")).join(attested, "c", "left_anti").select("r", "original").distinct()
+    same = inverse.join(unknown, ["r", "original"], "left_anti").groupBy("r", F.length("original").alias("n")).agg(F.collect_set("chain").alias("chains"))
+    return same.groupBy("r").agg(F.min_by("chains", "n").alias("chains"))
+
+
+def better_attested(pairs: DataFrame, of_word: DataFrame, counts: DataFrame, ratio: float, letters: int, alone: float) -> DataFrame:
+    """(w, original, chains, fuerte): the garbled words by the counts (w, u, n as an original, u_g, n_g as a garbled form)."""
+    runs = of_word.join(counts, "w").groupBy(F.col("r").alias("w")).agg(*[F.sum(c).alias(c) for c in ("u", "n", "u_g", "n_g")]).withColumn("parte", F.lit(True))
+    known = materialize(counts.withColumn("parte", F.lit(False)).unionByName(runs), "attestation")
+    original, form = known.select("w", "parte", "u", "n"), known.select(F.col("w").alias("g"), "parte", "u_g", "n_g")
+    fits = (F.col("n") >= F.col("n_g") * ratio) & (F.col("u") >= F.col("u_g"))
+    found = pairs.join(original, ["w", "parte"]).join(form, ["g", "parte"]).where(fits)
+    best = materialize(found.groupBy("g", "parte").agg(F.max_by(F.struct("w", "chains", "n", "n_g"), F.struct("n", "w")).alias("o")), "verified")
+    strong = (F.length(F.regexp_replace(F.col("o.w"), "[^A-Za-z]", "")) >= letters) | ((F.col("o.n") >= F.col("o.n_g") * alone) & ~F.col("g").rlike(r"^\p{Z}+$"))
+    by_word = best.where(~F.col("parte")).select(F.col("g").alias("w"), F.col("o.w").alias("original"), F.col("o.chains").alias("chains"), strong.alias("fuerte"))
+    return by_word.unionByName(_by_run(of_word, best.where("parte").select(F.col("g").alias("r"), F.col("o.chains").alias("chains"))))
+
+
+def _by_run(of_word: DataFrame, runs: DataFrame) -> DataFrame:
+    held = of_word.join(runs, "r").groupBy("w").agg(F.array_distinct(F.flatten(F.collect_list("chains"))).alias("chains"))
+    return held.select("w", F.lit(None).cast("string").alias("original"), "chains", F.lit(True).alias("fuerte"))
+
+
+def _together(found: DataFrame) -> DataFrame:
+    return found.groupBy("w").agg(F.max("original").alias("original"), F.array_distinct(F.flatten(F.collect_list("chains"))).alias("chains"), F.max("fuerte").alias("fuerte"))
 
 
-def garbled_words(by_doc: DataFrame, ratio: float = 3.0, letters: int = 2, alone: float = 200.0) -> DataFrame:
-    """(w, original, chains, fuerte): the corpus words that are garbled.
+def garbled_words(by_text: DataFrame, ratio: float = 3.0, letters: int = 2, alone: float = 200.0) -> DataFrame:
+    """(w, original, chains, fuerte): the corpus words that are garbled, from (texto, w, copias), the words of each distinct text.
 
-    A word is garbled if it is the garbled form of a word found in at least ``ratio`` times as many documents, or holds a fragment (a run
-    of characters beyond ASCII) that is the garbled sequence of a run found that much more often. ``fuerte`` tells a match that can stand
-    alone: one by fragment, or of a word with at least ``letters`` ASCII letters, or of a shorter one (a currency sign, a dash) whose
-    original is found in ``alone`` times as many documents; any other lone symbol may well stand for itself.
+    A word is garbled if it holds a fragment (a run of characters beyond ASCII) that decodes strictly as UTF-8 to characters of the corpus,
+    however often it occurs; such a word is nobody's original. Else it is garbled if it is the garbled form of a word found in at least
+    ``ratio`` times as many distinct texts, or holds a fragment that is the garbled sequence of a run found that much more often. Where
+    distinct texts don't tell, copies do, but only those of texts not yet found garbled, and not against the distinct texts. ``fuerte``
+    tells a match that can stand alone: one by fragment, or of a word with at least ``letters`` ASCII letters, or of a shorter one (a
+    currency sign, a dash) whose original is found ``alone`` times as often; any other lone symbol, and a lone space, may well stand for itself.
     """
-    counts = by_doc.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    whole = materialize(counts.withColumn("parte", F.lit(False)), "words")
-    runs = F.array_distinct(F.regexp_extract_all("w", F.lit(f"({_RUN})"), F.lit(1)))
-    of_word = whole.select("w", "n", F.explode(runs).alias("r"))
-    fragments = of_word.groupBy(F.col("r").alias("w")).agg(F.sum("n").alias("n")).withColumn("parte", F.lit(True))
-    known = materialize(whole.unionByName(fragments), "known-words")
-    forms = known.repartition("w").mapInPandas(_forms, "g string, w string, chain string, n long, parte boolean")
-    pairs = forms.join(known.select(F.col("w").alias("g"), F.col("n").alias("n_g"), "parte"), ["g", "parte"]).where(F.col("n") >= F.col("n_g") * ratio)
+    vocabulary = materialize(by_text.select("w").distinct(), "words")
+    of_word = materialize(vocabulary.select("w", F.explode(F.array_distinct(F.regexp_extract_all("w", F.lit(f"({_RUN})"), F.lit(1)))).alias("r")), "runs")
+    runs = of_word.select("r").distinct()
+    sure = materialize(sure_runs(runs), "sure-runs")
+    proven = materialize(_by_run(of_word, sure), "proven-words")
+    targets = vocabulary.withColumn("parte", F.lit(False)).unionByName(runs.select(F.col("r").alias("w"), F.lit(True).alias("parte")))
+    originals = vocabulary.join(proven, "w", "left_anti").withColumn("parte", F.lit(False)).unionByName(runs.join(sure, "r", "left_anti").select(F.col("r").alias("w"), F.lit(True).alias("parte")))
+    forms = originals.repartition("w").mapInPandas(_forms, "g string, w string, chain string, parte boolean")
     # Chains that give the same form from the same word stand together; there are a few dozen chains.
-    same = pairs.groupBy("g", "parte", "w").agg(F.max("n").alias("n"), F.max("n_g").alias("n_g"), F.collect_set("chain").alias("chains"))
-    best = materialize(same.groupBy("g", "parte").agg(F.max_by(F.struct("w", "chains", "n", "n_g"), F.struct("n", "w")).alias("o")), "verified")
-    by_word = best.where(~F.col("parte")).select(F.col("g").alias("w"), F.col("o.w").alias("original"), F.col("o.chains").alias("chains"), ((F.length(F.regexp_replace(F.col("o.w"), "[^A-Za-z]", "")) >= letters) | (F.col("o.n") >= F.col("o.n_g") * alone)).alias("fuerte"))
-    by_run = of_word.join(best.where("parte").select(F.col("g").alias("r"), F.col("o.chains").alias("chains")), "r").groupBy("w").agg(F.array_distinct(F.flatten(F.collect_list("chains"))).alias("chains")).withColumn("original", F.lit(None).cast("string")).withColumn("fuerte", F.lit(True))
-    both = by_word.unionByName(by_run).groupBy("w").agg(F.max("original").alias("original"), F.array_distinct(F.flatten(F.collect_list("chains"))).alias("chains"), F.max("fuerte").alias("fuerte"))
-    return materialize(both, "garbled-words")
+    pairs = forms.join(targets.withColumnRenamed("w", "g"), ["g", "parte"]).groupBy("g", "parte", "w").agg(F.collect_set("chain").alias("chains"))
+    pairs = materialize(pairs, "pairs")
+    once = by_text.groupBy("w").agg(F.count(F.lit(1)).alias("u")).select("w", "u", F.col("u").alias("n"), F.col("u").alias("u_g"), F.col("u").alias("n_g"))
+    first = materialize(_together(better_attested(pairs, of_word, once, ratio, letters, alone).unionByName(proven)), "garbled-by-text")
+    garbled = by_text.join(maybe_broadcast(first.where("fuerte").select("w")), "w").select("texto").distinct().withColumn("malo", F.lit(1))
+    sound = by_text.join(garbled, "texto", "left").withColumn("bueno", 1 - F.coalesce("malo", F.lit(0)))
+    copies = sound.groupBy("w").agg(F.sum("bueno").alias("u"), F.sum(F.col("bueno") * F.col("copias")).alias("n"), F.count(F.lit(1)).alias("u_g"), F.sum(F.when(F.col("bueno") == 1, F.col("copias")).otherwise(1)).alias("n_g"))
+    rest = better_attested(pairs, of_word, copies, ratio, letters, alone).join(first.where("fuerte"), "w", "left_anti")
+    return materialize(_together(first.unionByName(rest)), "garbled-words")
 
 
 def garbled_documents(docs: DataFrame, key: str, text: str, ratio: float = 3.0) -> DataFrame:
     """(doc, cambios): the documents that hold garbled words, with those words, their originals and chains.
 
-    Null, empty and pure ASCII texts are never garbled. Repeated documents are judged each. An empty table gives no rows. Texts are
-    used whole. Other columns aren't read.
+    Null, empty and pure ASCII texts are never garbled. Repeated documents are judged each; however many, they attest nothing against
+    themselves. An empty table gives no rows. Texts are used whole. Other columns aren't read.
     """
     by_doc = materialize(words(docs, key, text), "document-words")
-    bad = garbled_words(by_doc, ratio)
-    hits = by_doc.join(maybe_broadcast(bad), "w")
-    # A document's hits are at most the distinct words of its own text.
-    per_doc = hits.groupBy("doc").agg(F.max("fuerte").alias("fuerte"), F.collect_list(F.struct("w", "original", "chains", "fuerte")).alias("cambios"))
-    return per_doc.where("fuerte").select("doc", "cambios")
+    texts = by_doc.groupBy("texto").agg(F.first("ws").alias("ws"), F.count(F.lit(1)).alias("copias"))
+    by_text = materialize(texts.select("texto", "copias", F.explode("ws").alias("w")), "text-words")
+    bad = garbled_words(by_text, ratio)
+    hits = by_text.join(maybe_broadcast(bad), "w")
+    # A text's hits are at most the distinct words of its own.
+    per_text = hits.groupBy("texto").agg(F.max("fuerte").alias("fuerte"), F.collect_list(F.struct("w", "original", "chains", "fuerte")).alias("cambios"))
+    found = materialize(per_text.where("fuerte").select("texto", "cambios"), "garbled-texts")
+    per_doc = by_doc.select("doc", "texto").distinct().join(maybe_broadcast(found), "texto")
+    return per_doc.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("cambios"))).alias("cambios"))
 
 
 def restore_text(text: str, changes: list[tuple[str, str | None, list[str], bool]]) -> str:

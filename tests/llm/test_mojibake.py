@@ -44,3 +44,29 @@ def test_a_lone_symbol_needs_much_better_attestation(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "k long, t string")
     assert garbled_documents(none, "k", "t").count() == 0 and restored_documents(none, "k", "t").count() == 0
+
+
+@pytest.mark.parametrize("chain", [("utf-8", "latin-1"), ("cp1252", "mac_roman")])
+def test_copies_of_a_garbled_text_do_not_hide_it(spark, chain):
+    """A garbled text copied to as many rows as there are sound ones is found in every copy, and no sound text is found in its place."""
+    sound = [(i, f"{TEXT} {i}") for i in range(12)]
+    copies = [(100 + i, garble(TEXT, chain)) for i in range(12)]
+    one = [(300, "sound text, licitación " + garble("duración", ("utf-8", "cp1252"))), (301, "la duración y la técnica")]
+    df = spark.createDataFrame(sound + copies + one, "k long, t string")
+    assert {r.doc for r in garbled_documents(df, "k", "t").collect()} == {k for k, _ in copies} | {300}
+    back = {r.doc: r.text for r in restored_documents(df, "k", "t").collect()}
+    assert back[300] == "sound text, licitación duración" and all(back[k] == TEXT for k, _ in copies)
+
+
+def test_utf8_is_garbled_however_often_it_occurs(spark):
+    """Distinct garbled texts in the majority: the way back decides, not the frequency. What decodes to nothing known stays."""
+    sound = [(i, f"{TEXT} {i}") for i in range(3)] + [(50, "MAÇÃ® ╔═╗ Ç» É– ≤≥ Ãmbar® Âncora© СТРОЙМОНТ» ═╗")]
+    bad = [(100 + i, garble(f"{TEXT} {i}", ("utf-8", r))) for i, r in enumerate(["latin-1", "cp1252", "cp1250", "cp437", "mac_roman"] * 8)]
+    df = spark.createDataFrame(sound + bad, "k long, t string")
+    assert {r.doc for r in garbled_documents(df, "k", "t").collect()} == {k for k, _ in bad}
+    assert all(r.text == f"{TEXT} {r.doc - 100}" for r in restored_documents(df, "k", "t").collect())
+
+
+def test_blank_texts_of_hard_spaces_are_sound(spark):
+    df = spark.createDataFrame([(i, f"á {i}") for i in range(300)] + [(500 + i, "\xa0") for i in range(3)], "k long, t string")
+    assert garbled_documents(df, "k", "t").count() == 0
