@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,9 @@ def _duplicates(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _duplicates(spark, sf_dir, "licitaciones").unionByName(_duplicates(spark, sf_dir, "adjudicaciones"))
+    with ThreadPoolExecutor(len(KEYS)) as pool:  # the tables' stores have nothing in common: their jobs fill one another's gaps
+        a, b = pool.map(lambda name: _duplicates(spark, sf_dir, name), KEYS)
+    return a.unionByName(b)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

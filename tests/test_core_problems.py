@@ -55,22 +55,85 @@ def test_store_rewrites_only_affected_partitions(spark):
     old = store.manifest()["parts"]
     done = store.apply(df([("b", 1001, 4), ("new", 0, 5)]))
     now = store.manifest()["parts"]
-    assert done["affected"] == ["2024-03"] and [now[p] for p in ("2024-01", "2024-04")] == [old[p] for p in ("2024-01", "2024-04")]
+    assert done["affected"] == ["2024-03"] and now["2024-04"] == old["2024-04"] and now["2024-01"][:1] == old["2024-01"] and len(now["2024-01"]) == 2
     assert kept(store) == [("a", "", 1), ("b", "", 2), ("c", "", 3), ("new", "", 5)]
     store.apply(df([("new", -1, 6), ("a", -2, 7)]))
     assert [k[2] for k in kept(store)] == [7, 2, 3, 6]
     store.apply(df([("z", 1002, 8)]))
-    assert any("+" in p for p in store.manifest()["parts"])
+    assert len(store.manifest()["parts"]["2024-03"]) == 2
     before = kept(store)
-    assert store.compact() == len({p.partition("+")[0] for p in store.manifest()["parts"]}) and kept(store) == before
-    assert not any("+" in p for p in store.manifest()["parts"]) and store.compact() == len(store.manifest()["parts"])
+    assert store.compact() == len(store.manifest()["parts"]) and kept(store) == before
+    assert all(len(f) == 1 for f in store.manifest()["parts"].values())
 
 
 def test_store_empty(spark):
     store = DeliveryStore(spark, fresh_path(spark, "test"), ["clave"], "t", "fila")
     assert store.snapshot() is None
     store.apply(spark.createDataFrame([], COLS))
-    assert store.snapshot() is None
+    assert store.snapshot() is None and store.compact() == 0
+
+
+def small(spark, rows):
+    return spark.createDataFrame([(k, "", at(h), i, "", "") for k, h, i in rows], COLS)
+
+
+@pytest.mark.parametrize("step", ["_add_index", "_publish", "claim"])
+def test_store_survives_a_crash_at_every_step(spark, monkeypatch, step):
+    """The batch fails after its rows or its index were written, or just before or after its manifest; then it comes again."""
+    store = DeliveryStore(spark, fresh_path(spark, "test"), ["clave"], "t", "fila")
+    store.apply(small(spark, [("a", 0, 1), ("b", 1000, 2)]))
+    batch = small(spark, [("a", -5, 3), ("c", 1, 4), ("b", 2000, 5)])
+    whole = store.files.claim if step == "claim" else getattr(store, step)
+
+    def dies(*args):
+        whole(*args) if step != "_publish" else None
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(store.files if step == "claim" else store, step, dies)
+        with pytest.raises(OSError):
+            store.apply(batch)
+    again = DeliveryStore(spark, store.root, ["clave"], "t", "fila")
+    again.apply(batch)
+    assert kept(again) == [("a", "", 3), ("b", "", 2), ("c", "", 4)]
+    again.vacuum(0)
+    folders = {f for fs in again.manifest()["parts"].values() for f in fs}
+    assert set(again.files.names(f"{again.root}/rows")) == folders and kept(again) == [("a", "", 3), ("b", "", 2), ("c", "", 4)]
+    assert set(again.files.names(f"{again.root}/index")) == set(again.manifest()["index"])
+
+
+def test_two_writers_lose_nothing(spark, monkeypatch):
+    store = DeliveryStore(spark, fresh_path(spark, "test"), ["clave"], "t", "fila")
+    store.apply(small(spark, [("a", 0, 1)]))
+    other, whole = DeliveryStore(spark, store.root, ["clave"], "t", "fila"), store._publish
+
+    def late(manifest):
+        if manifest["version"] == 2:
+            other.apply(small(spark, [("b", 5, 2), ("a", -1, 9)]))
+        return whole(manifest)
+
+    monkeypatch.setattr(store, "_publish", late)
+    done = store.apply(small(spark, [("c", 6, 3), ("b", 7, 4)]))
+    assert done["version"] == 3 and kept(store) == [("a", "", 9), ("b", "", 2), ("c", "", 3)]
+
+
+def test_index_is_joined_by_buckets_and_merged(spark):
+    store = DeliveryStore(spark, fresh_path(spark, "test"), ["clave"], "t", "fila", buckets=4, sets=2)
+    for i in range(5):
+        store.apply(small(spark, [(f"k{i}", i * 700, i), ("k0", 5000, 100 + i)]))
+        assert len(store.manifest()["index"]) <= 2
+    plan = store.lookup(small(spark, [("k1", 0, 1)]).hint("merge"), store.index())._jdf.queryExecution().toString()
+    assert "SelectedBucketsCount: 4 out of 4" in plan or "Bucketed: true" in plan
+    index = store.index()[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = index.join(spark.range(3).withColumnRenamed("id", "__hash"), "__hash", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.count("Exchange hashpartitioning") == 1  # the batch's side alone
+    assert kept(store) == sorted((f"k{i}", "", i) for i in range(5))
+    store.compact()
+    assert len(store.manifest()["index"]) == 1 and kept(store) == sorted((f"k{i}", "", i) for i in range(5))
 
 
 # --- orphan references
