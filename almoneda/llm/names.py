@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -29,8 +30,6 @@ NICKNAMES = {
     "CHUS": "JESUS", "SUSO": "JESUS", "MARICARMEN": "MARIA DEL CARMEN", "MAMEN": "MARIA DEL CARMEN", "CARMELA": "MARIA DEL CARMEN", "RAFA": "RAFAEL", "JAVI": "JAVIER", "PILI": "PILAR", "ALE": "ALEJANDRO", "ALEX": "ALEJANDRO", "MARISA": "MARIA LUISA",
     "NANDO": "FERNANDO", "FEDE": "FEDERICO", "GABI": "GABRIEL", "NATI": "NATIVIDAD", "CHELO": "CONSUELO", "CHEMA": "JOSE MARIA", "MIGUE": "MIGUEL", "RAMON": "RAMON", "TINO": "FAUSTINO", "VICEN": "VICENTE", "XIMO": "JOAQUIN", "PEP": "JOSE",
 }
-GIVEN = frozenset(w for v in NICKNAMES.values() for w in v.split() if w != "DEL")
-
 #: Legal forms at a name's end, without dots and spaces.
 FORMS = {
     "SL": "SL", "SLU": "SLU", "SA": "SA", "SAU": "SA", "SAL": "SAL", "SLL": "SLL", "SCOOP": "COOP", "COOP": "COOP", "SCL": "COOP", "SOCIEDADLIMITADA": "SL", "SOCIEDADLIMITADAUNIPERSONAL": "SLU", "SOCIEDADANONIMA": "SA",
@@ -43,6 +42,8 @@ _TOKEN = re.compile(r"[^\W_]+|&")
 
 def fold(text: str) -> str:
     """Upper case without accents, look-alike characters made plain."""
+    if text.isascii() and text.isprintable():
+        return text.upper()
     plain = canonical(text) or ""
     return "".join(c for c in unicodedata.normalize("NFD", plain.upper()) if not unicodedata.combining(c))
 
@@ -88,9 +89,6 @@ class Name(NamedTuple):
     form: str | None
 
 
-_TRADE_WORDS = {w: t for t in TRADES for w in t.split() if w != "Y"}
-
-
 def _subsequence(a: str, b: str) -> bool:
     it = iter(b)
     return all(c in it for c in a)
@@ -128,59 +126,79 @@ def edits(a: str, b: str, most: int = 99) -> int:
     return one[-1]
 
 
-@lru_cache(200_000)
-def trade_word(token: str) -> str | None:
-    """The trade's word that a token is, abbreviates or misspells."""
-    if token in _TRADE_WORDS:
-        return token
-    if len(token) < 3:
+class Lexicon:
+    """How names are read: trades (phrases of folded words) and short forms of given names. The tables are arguments; by default those
+    above. Reading is remembered, as names' words come again and again."""
+
+    def __init__(self, trades: Iterable[str] = TRADES, nicknames: dict[str, str] | None = None) -> None:
+        self.trades, self.nicknames = tuple(trades), NICKNAMES if nicknames is None else nicknames
+        self.words = {w: t for t in self.trades for w in t.split() if w != "Y"}
+        self.trade_word = lru_cache(200_000)(self._trade_word)
+        self.parse = lru_cache(100_000)(self.read)
+
+    def __reduce__(self):
+        return _lexicon, (self.trades, tuple(sorted(self.nicknames.items())))
+
+    def _trade_word(self, token: str) -> str | None:
+        """The trade's word that a token is, abbreviates or misspells."""
+        if token in self.words:
+            return token
+        if len(token) < 3:
+            return None
+        starts = [w for w in self.words if w.startswith(token)]
+        if starts:
+            return "COMERCIAL" if token == "COM" else min(starts, key=len)
+        short = [w for w in self.words if w[0] == token[0] and len(token) < len(w) and _subsequence(token, w) and token[-1] in w[len(w) // 2 :]]
+        # Drawn together: consonants side by side, as no whole word of a name would have them.
+        if short and (re.search(r"[^AEIOU]{2}", token) or len(token) >= 6 or token in ("CIA", "CIAL")):
+            if token in ("CIA", "CIAL"):
+                return "COMPANIA" if token == "CIA" else "COMERCIAL"
+            return max(short, key=lambda w: (w[-1] == token[-1], len(token) / len(w)))
+        if len(token) >= 6:
+            near = [w for w in self.words if len(w) >= 6 and edits(token, w, 2) <= (2 if len(w) >= 9 else 1)]
+            if near:
+                return min(near, key=lambda w: edits(token, w, 2))
         return None
-    starts = [w for w in _TRADE_WORDS if w.startswith(token)]
-    if starts:
-        return "COMERCIAL" if token == "COM" else min(starts, key=len)
-    short = [w for w in _TRADE_WORDS if w[0] == token[0] and len(token) < len(w) and _subsequence(token, w) and token[-1] in w[len(w) // 2 :]]
-    # Drawn together: consonants side by side, as no whole word of a name would have them.
-    if short and (re.search(r"[^AEIOU]{2}", token) or len(token) >= 6 or token in ("CIA", "CIAL")):
-        if token in ("CIA", "CIAL"):
-            return "COMPANIA" if token == "CIA" else "COMERCIAL"
-        return max(short, key=lambda w: (w[-1] == token[-1], len(token) / len(w)))
-    if len(token) >= 6:
-        near = [w for w in _TRADE_WORDS if len(w) >= 6 and edits(token, w, 2) <= (2 if len(w) >= 9 else 1)]
-        if near:
-            return min(near, key=lambda w: edits(token, w, 2))
-    return None
-
-
-@lru_cache(100_000)
-def parse(text: str) -> Name:
-    """Trade, other words, initials and legal form of a name in any order; nicknames and abbreviations written out."""
-    tokens = _TOKEN.findall(fold(text))
-    form, n = form_at(tokens)
-    if n:
-        tokens = tokens[:-n]
-    while len(tokens) > 1 and (tokens[-1] in _TAILS and not (tokens[-1] == "CIA" and len(tokens) < 2)):
-        tail = tokens.pop()
-        if tail == "CIA" and tokens[-1] in ("Y", "&"):
-            tokens.pop()
-    if form is None:
+
+    def read(self, text: str) -> Name:
+        """Trade, other words, initials and legal form of a name in any order; nicknames and abbreviations written out."""
+        tokens = _TOKEN.findall(fold(text))
         form, n = form_at(tokens)
-        tokens = tokens[: len(tokens) - n]
-    # A whole trade word outweighs a long abbreviation, that a short one; what belongs to another trade than the strongest is a name.
-    found = {t: w for t in tokens if len(t) > 1 and (w := trade_word(t)) is not None}
-    trade = max((((t == w) * 2 + (len(t) > 3), _TRADE_WORDS[w]) for t, w in found.items()), default=(0, None))[1]
-    words: list[str] = []
-    initials: list[str] = []
-    for i, t in enumerate(tokens):
-        if t in _LINKING:
-            continue
-        if t == "O" and any(found.get(x) == "CAMINOS" for x in tokens[i + 1 : i + 3]):
-            trade = "OBRAS Y CAMINOS"
-        elif t in found and _TRADE_WORDS[found[t]] == trade:
-            continue
-        elif len(t) == 1:
-            initials.append(t)
-        elif t in NICKNAMES:
-            words += [x for x in NICKNAMES[t].split() if x != "DEL"]
-        elif t not in words:
-            words.append(t)
-    return Name(trade, tuple(words), tuple(dict.fromkeys(initials)), form)
+        if n:
+            tokens = tokens[:-n]
+        while len(tokens) > 1 and (tokens[-1] in _TAILS and not (tokens[-1] == "CIA" and len(tokens) < 2)):
+            tail = tokens.pop()
+            if tail == "CIA" and tokens[-1] in ("Y", "&"):
+                tokens.pop()
+        if form is None:
+            form, n = form_at(tokens)
+            tokens = tokens[: len(tokens) - n]
+        # A whole trade word outweighs a long abbreviation, that a short one; what belongs to another trade than the strongest is a name.
+        found = {t: w for t in tokens if len(t) > 1 and (w := self.trade_word(t)) is not None}
+        trade = max((((t == w) * 2 + (len(t) > 3), self.words[w]) for t, w in found.items()), default=(0, None))[1]
+        words: dict[str, None] = {}
+        initials: list[str] = []
+        for i, t in enumerate(tokens):
+            if t in _LINKING:
+                continue
+            if t == "O" and any(found.get(x) == "CAMINOS" for x in tokens[i + 1 : i + 3]):
+                trade = "OBRAS Y CAMINOS"
+            elif t in found and self.words[found[t]] == trade:
+                continue
+            elif len(t) == 1:
+                initials.append(t)
+            elif t in self.nicknames:
+                words |= dict.fromkeys(x for x in self.nicknames[t].split() if x != "DEL")
+            else:
+                words[t] = None
+        return Name(trade, tuple(words), tuple(dict.fromkeys(initials)), form)
+
+
+@lru_cache(8)
+def _lexicon(trades: tuple[str, ...], nicknames: tuple[tuple[str, str], ...]) -> Lexicon:
+    """One a worker process and table, so that what it has read is remembered between batches."""
+    return Lexicon(trades, dict(nicknames))
+
+
+STANDARD = Lexicon()
+parse = STANDARD.parse
