@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from almoneda.functions.normalize import cif
 from almoneda.operators.delivery import DeliveryStore
-from almoneda.operators.feed_tables import feed_awards, feed_rows, lots, notices
+from almoneda.operators.feed_tables import feed_awards, feed_bodies, lots, notices
 from almoneda.operators.references import orphan_references
 from almoneda.operators.skew import salted_aggregate
 from almoneda.plans.runtime import fresh_path, table
@@ -71,9 +71,9 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of notices and lots with their parent links: tabla, entrada_id, nodo, padre, clave."""
-    flat = feed_rows(table(spark, sf_dir, "entradas"))
-    n = notices(flat).select(F.lit("aviso").alias("tabla"), F.col("doc").alias("entrada_id"), F.col("entrada_nodo").alias("nodo"), F.lit(None).cast("string").alias("padre"), F.col("licitacion_id").alias("clave"))
-    return n.unionByName(lots(flat).select(F.lit("lote").alias("tabla"), F.col("doc").alias("entrada_id"), F.col("lote_nodo").alias("nodo"), F.col("entrada_nodo").alias("padre"), F.col("lote").alias("clave")))
+    bodies = feed_bodies(table(spark, sf_dir, "entradas"))
+    n = notices(bodies).select(F.lit("aviso").alias("tabla"), F.col("doc").alias("entrada_id"), F.col("entrada_nodo").alias("nodo"), F.lit(None).cast("string").alias("padre"), F.col("licitacion_id").alias("clave"))
+    return n.unionByName(lots(bodies).select(F.lit("lote").alias("tabla"), F.col("doc").alias("entrada_id"), F.col("lote_nodo").alias("nodo"), F.col("entrada_nodo").alias("padre"), F.col("lote").alias("clave")))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_report, p5_totals, p6_found, p6_tables)}

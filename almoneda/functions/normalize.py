@@ -28,6 +28,11 @@ def number(c) -> Column:
     return F.when(F.isnan(v) | (F.abs(v) == float("inf")), None).otherwise(v)
 
 
+def money(c) -> Column:
+    """Amount with two decimals of a numeric text, exact; NaN, infinities and other texts count as none."""
+    return clean_text(c).try_cast("decimal(20,2)")
+
+
 def integer(c) -> Column:
     """Integer of a numeric text, decimals cut off."""
     t = clean_text(c)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from almoneda.functions import normalize as n
 from almoneda.operators import merge, search
-from almoneda.operators.feed_tables import awards, feed_rows, notices
+from almoneda.operators.feed_tables import awards, feed_bodies, notices
 from almoneda.operators.search import Search
 from almoneda.sources import feeds
 from almoneda.streaming.daily import collected, deliver, distinct_stream, sightings
@@ -36,7 +36,7 @@ def test_archives_nested_and_damaged(spark, tmp_path):
     (tmp_path / "broken.zip").write_bytes(b"PK")
     rows = feeds.read_archives(spark, str(tmp_path)).withColumn("k", F.monotonically_increasing_id())
     assert rows.count() == 3
-    flat = feed_rows(rows, "k", "cuerpo")
+    flat = feed_bodies(rows, "k", "cuerpo")
     assert sorted(r.licitacion_id for r in notices(flat).collect()) == ["e1", "e2", "e3"]
     assert {(r.lote, r.cif_adjudicatario) for r in awards(flat).collect()} == {("1", "A28141935"), ("1", "U1"), ("", "")}
 
