@@ -40,6 +40,7 @@ _LINKING = {"Y", "&", "DE", "DEL", "LA", "SR", "SRA", "DON", "DNA"}
 _TOKEN = re.compile(r"[^\W_]+|&")
 
 
+@lru_cache(50_000)
 def fold(text: str) -> str:
     """Upper case without accents, look-alike characters made plain."""
     if text.isascii() and text.isprintable():
@@ -133,6 +134,7 @@ class Lexicon:
     def __init__(self, trades: Iterable[str] = TRADES, nicknames: dict[str, str] | None = None) -> None:
         self.trades, self.nicknames = tuple(trades), NICKNAMES if nicknames is None else nicknames
         self.words = {w: t for t in self.trades for w in t.split() if w != "Y"}
+        self.letters = {w: frozenset(w) for w in self.words if len(w) >= 6}
         self.trade_word = lru_cache(200_000)(self._trade_word)
         self.parse = lru_cache(100_000)(self.read)
 
@@ -155,7 +157,10 @@ class Lexicon:
                 return "COMPANIA" if token == "CIA" else "COMERCIAL"
             return max(short, key=lambda w: (w[-1] == token[-1], len(token) / len(w)))
         if len(token) >= 6:
-            near = [w for w in self.words if len(w) >= 6 and edits(token, w, 2) <= (2 if len(w) >= 9 else 1)]
+            # An edit changes at most one letter of each side.
+            letters = set(token)
+            alike = [w for w, ws in self.letters.items() if abs(len(w) - len(token)) <= 2 and len(letters - ws) <= 2 and len(ws - letters) <= 2]
+            near = [w for w in alike if edits(token, w, 2) <= (2 if len(w) >= 9 else 1)]
             if near:
                 return min(near, key=lambda w: edits(token, w, 2))
         return None
