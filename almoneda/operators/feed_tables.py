@@ -14,6 +14,8 @@ from almoneda.operators.nested import VALUE, Bodies, Node, escaped, everywhere,
 #: Elements that may repeat in an entry.
 REPEATING = ("entry", "TenderResult", "WinningParty", "PartyIdentification", "ProcurementProjectLot")
 FOLDER = "ContractFolderStatus"
+#: Keys on the way to what identifies an award.
+IDENTIFYING = ("feed", "entry", "id", "link", "href", FOLDER, "TenderResult", "AwardedTenderedProject", "ProcurementProjectLotID", "WinningParty", "PartyIdentification", "ID", "schemeName", *VALUE)
 
 
 def feed_bodies(entries: DataFrame, key: str = "entrada_id", body: str = "cuerpo") -> Bodies:
@@ -28,14 +30,16 @@ def _named(**fields: Column) -> Column:
 def _entries(bodies: Bodies) -> list[tuple[DataFrame, Node]]:
     """(doc, nodo, x) of the entries, wherever bodies have them: at the root, if it holds a folder status, and under every key 'entry'."""
     found = []
-    for path in bodies.tables(REPEATING):
+    paths = bodies.tables(REPEATING)
+    ways = {p[0] for p in paths if p and p[-1] == "entry"}
+    for path in paths:
         n = bodies.node(path)
-        if (path and path[-1] == "entry") or (not path and n.child(FOLDER) is not None):
-            df = bodies.at(path, REPEATING)
-            folder = objects(F.col("x"), n, FOLDER)
-            if not path:
-                df = df.where(F.size(folder[0]) > 0)
-            found.append((df.select("doc", "nodo", "x"), n))
+        if path and path[-1] == "entry":
+            found.append((bodies.at(path, REPEATING).select("doc", "nodo", "x"), n))
+        elif not path and n.child(FOLDER) is not None:
+            df = bodies.at(path, REPEATING, ways)
+            n = n.pruned(None, {escaped(w) for w in ways})
+            found.append((df.where(F.size(objects(F.col("x"), n, FOLDER)[0]) > 0).select("doc", "nodo", "x"), n))
     return found
 
 
@@ -175,5 +179,6 @@ def awards(bodies: Bodies, as_of: Column | None = None) -> DataFrame:
 
 def feed_awards(entries: DataFrame, key: str = "entrada_id", body: str = "cuerpo") -> DataFrame:
     """entrada_id, licitacion_id, lote, cif_adjudicatario: distinct rows, each of its entry."""
-    every = awards(feed_bodies(entries, key, body))
+    bodies = feed_bodies(entries, key, body).only(IDENTIFYING)
+    every = awards(bodies)
     return every.select(F.col("doc").alias("entrada_id"), "licitacion_id", "lote", "cif_adjudicatario").distinct()

@@ -198,6 +198,18 @@ class Node:
     def child(self, name: str) -> Node | None:
         return self.children.get(escaped(name))
 
+    def pruned(self, names: set[str] | None, skip: set[str] = frozenset()) -> Node:
+        """Without children whose escaped names aren't wanted, at any level, or, at this one, are to be skipped."""
+        keep = {k: c.pruned(names) for k, c in self.children.items() if (names is None or k in names) and k not in skip}
+        return Node(self.name, self.kinds, keep)
+
+    def towards(self, path: tuple[str, ...], skip: set[str]) -> Node:
+        """What has to be parsed for the objects at a path: above them nothing but the way."""
+        if not path:
+            return self.pruned(None, skip)
+        e = escaped(path[0])
+        return Node(self.name, self.kinds, {e: Node(e, self.children[e].kinds & {"object", "array"}, self.children[e].towards(path[1:], skip).children)})
+
 
 def scalar(at: Column, node: Node | None, *path: str) -> Column:
     """The text at a path below an object (a struct in the regular form): bare, or beside attributes; null where there is none."""
@@ -260,9 +272,14 @@ class Bodies:
     rows: DataFrame
     root: Node
 
-    def parsed(self) -> DataFrame:
-        """(doc, raiz): every body as an array of its root objects."""
-        shape = T.StructType([T.StructField("r", T.ArrayType(self.root.struct()))])
+    def only(self, names: Iterable[str]) -> Bodies:
+        """The same bodies, of which nothing under other keys will be parsed."""
+        return Bodies(self.rows, self.root.pruned({escaped(n) for n in names}))
+
+    def parsed(self, path: tuple[str, ...] = (), skip: Iterable[str] = ()) -> DataFrame:
+        """(doc, raiz): every body as an array of its root objects, with what lies on the way to a path and below it."""
+        root = self.root.towards(path, {escaped(s) for s in skip})
+        shape = T.StructType([T.StructField("r", T.ArrayType(root.struct()))])
         return self.rows.select("doc", F.from_json("cuerpo", shape)["r"].alias("raiz"))
 
     def node(self, path: tuple[str, ...]) -> Node:
@@ -282,11 +299,11 @@ class Bodies:
             todo += [((*path, unescaped(k)), c) for k, c in sorted(n.children.items(), reverse=True) if "object" in c.kinds]
         return out
 
-    def at(self, path: tuple[str, ...], repeating: Iterable[str] = ()) -> DataFrame:
+    def at(self, path: tuple[str, ...], repeating: Iterable[str] = (), skip: Iterable[str] = ()) -> DataFrame:
         """(doc, nodo, padre, ordinal, x): the objects at a path, x in the regular form; nodo is the surrogate key, padre that of the row in
-        the next table above, ordinal the place in the array. The root's padre is null."""
+        the next table above, ordinal the place in the array. The root's padre is null. Children in ``skip`` aren't parsed."""
         also = {escaped(r) for r in repeating}
-        df = self.parsed().select("doc", F.posexplode("raiz").alias("ordinal", "x")).where("x is not null")
+        df = self.parsed(path, skip).select("doc", F.posexplode("raiz").alias("ordinal", "x")).where("x is not null")
         df = df.select("doc", F.concat(F.lit("r"), F.col("ordinal")).alias("nodo"), F.lit(None).cast("string").alias("padre"), "ordinal", "x")
         n = self.root
         for name in path:

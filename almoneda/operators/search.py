@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -10,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoneda.functions.normalize import file_number, fold
+from almoneda.functions.normalize import file_number, fold, fold_compat
 
 CAP, PAGE = 5000, 25
 SORTS = ("fecha_fin_plazo", "fecha_publicacion", "valor_estimado")
@@ -136,6 +137,89 @@ def first_match(title: str, codes: str, criteria: list[tuple[str, list[str], lis
     out = F.lit(None).cast("string")
     for name, prefixes, keywords in reversed(criteria):
         by_code = F.coalesce(has_prefix(codes, prefixes), F.lit(False)) if prefixes else F.lit(False)
-        by_word = reduce(lambda a, b: a | b, [F.contains(fold(title), fold(F.lit(k))) for k in keywords], F.lit(False))
+        by_word = reduce(lambda a, b: a | b, [F.contains(fold_compat(title), fold_compat(F.lit(k))) for k in keywords], F.lit(False))
         out = F.when(by_code | F.coalesce(by_word, F.lit(False)), F.lit(name)).otherwise(out)
     return out
+
+
+def coerced(params: dict, as_of: datetime) -> Search:
+    """A search from loose parameters: what isn't a finite number, a date, a text that isn't blank or a known word is ignored; pages count
+    from 1."""
+
+    def number(v: object) -> float | None:
+        try:
+            x = float(str(v).strip())
+        except ValueError:
+            return None
+        return x if math.isfinite(x) else None
+
+    def moment(v: object) -> datetime | None:
+        if isinstance(v, datetime):
+            return v
+        try:
+            return datetime.fromisoformat(str(v).strip())
+        except ValueError:
+            return None
+
+    def text(v: object) -> str:
+        return v.strip() if isinstance(v, str) else ""
+
+    def many(v: object) -> list[str]:
+        return [t for x in (v if isinstance(v, list) else [v]) if (t := text(x))]
+
+    def whole(v: object, default: int) -> int:
+        x = number(v)
+        return max(1, int(x)) if x is not None else default
+
+    get = params.get
+    prefixes = [t for x in many(get("prefijos")) for p in re.split(r"[,;\s]+", x) if (t := p.partition("-")[0].strip())]
+    estado = get("estado") if get("estado") in ("abierta", "cerrada", "todas") else None
+    return Search(
+        texto=text(get("texto")), prefijos=prefixes, codigos=many(get("codigos")), expediente=text(get("expediente")), fuente=text(get("fuente")) or None, desiertas=get("desiertas") if get("desiertas") in ("todas", "total", "parcial") else None,
+        importe=(number(get("importe_min")), number(get("importe_max"))), fin=(moment(get("fin_desde")), moment(get("fin_hasta"))), publicacion=(moment(get("publicacion_desde")), moment(get("publicacion_hasta"))), estado=estado,
+        orden=get("orden") if get("orden") in SORTS else SORTS[0], descendente=get("descendente") is True, pagina=whole(get("pagina"), 1), por_pagina=whole(get("por_pagina"), PAGE), as_of=as_of)
+
+
+@dataclass
+class Found:
+    """What a search gives: the page's rows and what is said about them."""
+
+    rows: DataFrame
+    total: int
+    topado: bool
+    pagina: int
+    por_pagina: int
+
+    @property
+    def aproximado(self) -> bool:
+        return self.topado
+
+    @property
+    def paginas(self) -> int:
+        return max(1, -(-self.total // self.por_pagina))
+
+    @property
+    def mostradas(self) -> tuple[int, int]:
+        """The first and last row shown, by number; (0, 0) of an empty page."""
+        first = (self.pagina - 1) * self.por_pagina + 1
+        last = first + self.por_pagina - 1 if self.topado else min(self.total, first + self.por_pagina - 1)
+        return (first, last) if last >= first else (0, 0)
+
+    @property
+    def resumen(self) -> str:
+        return f"{self.mostradas[0]}-{self.mostradas[1]} de {self.total}{'+' if self.topado else ''}"
+
+    def json(self) -> DataFrame:
+        """One row: the envelope as JSON, its rows in their order (a page of them)."""
+        listed = self.rows.withColumn("__n", F.monotonically_increasing_id()).agg(F.array_sort(F.collect_list(F.struct("__n", F.struct(*self.rows.columns).alias("r")))).alias("l"))
+        return listed.select(F.to_json(F.struct(F.lit(self.total).alias("total"), F.transform("l", lambda x: x["r"]).alias("filas"), F.lit(self.pagina).alias("pagina"), F.lit(self.por_pagina).alias("porPagina"), F.lit(self.aproximado).alias("aproximado"), F.lit(self.topado).alias("topado"))).alias("json"))
+
+
+def run(df: DataFrame, s: Search, cap: int = CAP, by_text: bool = False) -> Found:
+    """The search's envelope: the count stops one above ``cap``, the page is a bounded top-k; both read the same pushed-down filter. With
+    ``by_text`` a search without text, prefix or a file number of three signs is refused."""
+    number = re.sub(r"[\s/.\-]", "", s.expediente)
+    if by_text and not (s.texto.strip() or s.prefijos or len(number) >= 3):
+        raise ValueError("a text, a code prefix or three signs of a file number are needed")
+    total, over = capped_count(df, s, cap).first()
+    return Found(page(df, s), total, over, max(1, s.pagina), max(1, s.por_pagina))

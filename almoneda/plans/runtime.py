@@ -85,6 +85,14 @@ class Files:
             return False
         return True
 
+    def replace(self, new: str, at: str) -> None:
+        """Puts a file in another's place in one step."""
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(at).toUri(), self.conf)
+        rename = self.jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context.rename(self.path(new), self.path(at), options)
+
     def delete(self, at: str) -> None:
         self.fs.delete(self.path(at), True)
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from almoneda.functions import normalize as n
 from almoneda.functions.labels import RESULTS, SYSTEMS, TYPES, label
-from almoneda.operators import catalogue, merge, search
+from almoneda.operators import catalogue, merge, search, views
 from almoneda.operators.search import Search
-from almoneda.plans.runtime import table
-from almoneda.streaming.daily import collected, distinct_stream, sightings, stream_file
+from almoneda.plans.runtime import Files, fresh_path, table
+from almoneda.streaming.daily import Sightings, collected, distinct_stream, run_available, stream_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,11 +31,9 @@ def query(sql: str | None = None):
     return add
 
 
-_FOLD = f"translate({{}}, '{n.ACCENTED}', '{n.PLAIN}')"
-
-
+_FOLD = "strip_accents({})"
 #: Upper case by full case mapping, as the engine's upper() has it.
-_UPPER = _FOLD.format("upper(replace(replace(a.nom, 'ﬁ', 'FI'), 'ß', 'SS'))")
+_UPPER = "upper(replace(replace({}, 'ﬁ', 'FI'), 'ß', 'SS'))"
 
 
 def _lic(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,6 +44,17 @@ def _adj(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "adjudicaciones")
 
 
+AWARD_KEY = ["licitacion_id", "lote", "cif_adjudicatario"]
+#: One row per award: the delivery updated last.
+AWARDS = "(SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY licitacion_id, lote, cif_adjudicatario ORDER BY updated_at DESC NULLS LAST, fila_id DESC) AS k FROM adjudicaciones) WHERE k = 1)"
+
+
+def awards_once(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """One row per award (notice, lot, winner) with these columns."""
+    rest = [c for c in columns if c not in (*AWARD_KEY, "updated_at", "fila_id")]
+    return merge.pick(_adj(spark, sf).select(*AWARD_KEY, "updated_at", "fila_id", *rest), AWARD_KEY, F.struct("updated_at", "fila_id"))
+
+
 #: One row per notice: the delivery received last.
 _LATEST = "(SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY licitacion_id ORDER BY recibido_en DESC, fila_id DESC) AS k FROM licitaciones) WHERE k = 1)"
 
@@ -55,6 +64,19 @@ def latest(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return merge.pick(_lic(spark, sf).select("licitacion_id", "recibido_en", "fila_id", *columns), ["licitacion_id"], F.struct("recibido_en", "fila_id"))
 
 
+_KEPT: dict[tuple[str, str], str] = {}
+
+
+def catalogue_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalogue that searches read: a row per notice, written once a session in the order of publication, so that their filters reach
+    the scan and skip what can't match. No search looks for latest deliveries itself."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _KEPT or not Files(spark, _KEPT[key]).exists(_KEPT[key]):
+        _KEPT[key] = fresh_path(spark, "catalogue")
+        latest(spark, sf, *SEARCHED).repartitionByRange("fecha_publicacion", "licitacion_id").sortWithinPartitions("fecha_publicacion").write.parquet(_KEPT[key])
+    return spark.read.schema(latest(spark, sf, *SEARCHED).schema).parquet(_KEPT[key])
+
+
 #: What a search can filter on or show.
 SEARCHED = ("titulo", "objeto", "organo_contratacion", "num_expediente", "cpv", "fuente", "estado_adjudicacion", "valor_estimado", "fecha_publicacion", "fecha_fin_plazo")
 
@@ -65,22 +87,22 @@ SEARCHED = ("titulo", "objeto", "organo_contratacion", "num_expediente", "cpv",
 @query(f"""
 WITH a AS (SELECT cif_adjudicatario AS cif, adjudicatario AS nom, licitacion_id, importe_sin_iva AS imp, n_ofertas,
                   CASE WHEN fecha_adjudicacion BETWEEN DATE '2000-01-01' AND DATE '2025-06-01' + 730 THEN fecha_adjudicacion END AS f
-           FROM adjudicaciones WHERE regexp_full_match(cif_adjudicatario, '[A-Z0-9]+')),
+           FROM {AWARDS} WHERE regexp_full_match(cif_adjudicatario, '[A-Z0-9]+')),
      m AS (SELECT cif, nom, row_number() OVER (PARTITION BY cif ORDER BY count(*) DESC, nom) AS k FROM a WHERE nom IS NOT NULL GROUP BY 1, 2)
-SELECT a.cif, any_value(m.nom) AS nombre_canonico, coalesce(string_agg(DISTINCT {_UPPER}, ' ' ORDER BY {_UPPER}), '') AS nombre_busqueda,
+SELECT a.cif, any_value(m.nom) AS nombre_canonico, {_FOLD.format(_UPPER.format("string_agg(DISTINCT coalesce(a.nom, ''), ' ' ORDER BY coalesce(a.nom, ''))"))} AS nombre_busqueda,
        count(*) AS n_lotes, count(DISTINCT licitacion_id) AS n_expedientes, sum(imp)::DECIMAL(30,2) AS importe_total_sin_iva,
-       round(100::DECIMAL(10,0) * count(*) FILTER (n_ofertas = 1) / nullif(count(n_ofertas), 0), 1)::DECIMAL(5,1) AS pct_una_oferta, min(f) AS primera_adjudicacion, max(f) AS ultima_adjudicacion
+       round(100::DECIMAL(10,0) * count(*) FILTER (n_ofertas = 1) / nullif(count(*), 0), 1)::DECIMAL(5,1) AS pct_una_oferta, min(f) AS primera_adjudicacion, max(f) AS ultima_adjudicacion
 FROM a LEFT JOIN m ON a.cif = m.cif AND m.k = 1 GROUP BY 1""")
 def a1_competitors(spark, sf):
-    return catalogue.competitors(_adj(spark, sf), F.lit(AS_OF).cast("date"))
+    return catalogue.competitors(awards_once(spark, sf, "adjudicatario", "importe_sin_iva", "n_ofertas", "fecha_adjudicacion"), F.lit(AS_OF).cast("date"))
 
 
-@query("""
+@query(f"""
 SELECT licitacion_id, CASE WHEN g = 0 AND d > 0 THEN 'desierta_total' WHEN g > 0 AND d > 0 THEN 'desierta_parcial' WHEN g = 0 AND r > 0 THEN 'retirada' WHEN g > 0 THEN 'adjudicada' ELSE 'sin_ganador' END AS estado, d AS n_lotes_desiertos
 FROM (SELECT licitacion_id, count(*) FILTER (cif_adjudicatario <> '') AS g, count(*) FILTER (cif_adjudicatario = '' AND resultado_code = '3') AS d,
-             count(*) FILTER (cif_adjudicatario = '' AND resultado_code IN ('4', '5')) AS r FROM adjudicaciones GROUP BY 1)""")
+             count(*) FILTER (cif_adjudicatario = '' AND resultado_code IN ('4', '5')) AS r FROM {AWARDS} GROUP BY 1)""")
 def a2_lot_outcomes(spark, sf):
-    return catalogue.lot_outcomes(_adj(spark, sf))
+    return catalogue.lot_outcomes(awards_once(spark, sf, "resultado_code"))
 
 
 @query("SELECT estado_adjudicacion AS estado, count(*) AS n FROM licitaciones GROUP BY 1")
@@ -126,21 +148,22 @@ def a9_cpv_facet(spark, sf):
     return catalogue.facet(latest(spark, sf, "cpv"), "cpv", "codigo")
 
 
-@query("SELECT licitacion_id, count(*) AS n_lotes, count(*) FILTER (cif_adjudicatario = '') AS sin_ganador, count(DISTINCT nullif(cif_adjudicatario, '')) AS n_ganadores, max(fecha_adjudicacion) AS ultima FROM adjudicaciones GROUP BY 1")
+@query(f"SELECT licitacion_id, count(*) AS n_lotes, count(*) FILTER (cif_adjudicatario = '') AS sin_ganador, count(DISTINCT nullif(cif_adjudicatario, '')) AS n_ganadores, max(fecha_adjudicacion) AS ultima FROM {AWARDS} GROUP BY 1")
 def a19_award_summary(spark, sf):
-    return _adj(spark, sf).groupBy("licitacion_id").agg(F.count(F.lit(1)).alias("n_lotes"), F.sum((F.col("cif_adjudicatario") == "").cast("long")).alias("sin_ganador"), F.countDistinct(F.nullif("cif_adjudicatario", F.lit(""))).alias("n_ganadores"), F.max("fecha_adjudicacion").alias("ultima"))
+    return awards_once(spark, sf, "fecha_adjudicacion").groupBy("licitacion_id").agg(F.count(F.lit(1)).alias("n_lotes"), F.sum((F.col("cif_adjudicatario") == "").cast("long")).alias("sin_ganador"), F.countDistinct(F.nullif("cif_adjudicatario", F.lit(""))).alias("n_ganadores"), F.max("fecha_adjudicacion").alias("ultima"))
 
 
-_CAL = f"(SELECT 'plazo' AS tipo, fecha_fin_plazo::DATE AS fecha, licitacion_id AS id FROM {_LATEST} WHERE fecha_fin_plazo >= {TS} UNION ALL SELECT 'adjudicacion', fecha_adjudicacion, licitacion_id FROM adjudicaciones WHERE fecha_adjudicacion IS NOT NULL)"
+_CAL = f"(SELECT 'plazo' AS tipo, fecha_fin_plazo::DATE AS fecha, licitacion_id AS id FROM {_LATEST} WHERE fecha_fin_plazo >= {TS} UNION ALL SELECT 'adjudicacion', fecha_adjudicacion, licitacion_id FROM {AWARDS} WHERE fecha_adjudicacion IS NOT NULL)"
 
 
 @query(f"SELECT fecha, count(*) AS n, string_agg(DISTINCT tipo, ',' ORDER BY tipo) AS tipos FROM {_CAL} GROUP BY 1")
 def a20_d7_calendar(spark, sf):
     ends = latest(spark, sf, "fecha_fin_plazo").where(F.col("fecha_fin_plazo") >= F.lit(AS_OF).cast("timestamp_ntz")).select(F.lit("plazo").alias("tipo"), F.to_date("fecha_fin_plazo").alias("fecha"), F.col("licitacion_id").alias("id"))
-    won = _adj(spark, sf).where("fecha_adjudicacion is not null").select(F.lit("adjudicacion").alias("tipo"), F.col("fecha_adjudicacion").alias("fecha"), F.col("licitacion_id").alias("id"))
+    won = awards_once(spark, sf, "fecha_adjudicacion").where("fecha_adjudicacion is not null").select(F.lit("adjudicacion").alias("tipo"), F.col("fecha_adjudicacion").alias("fecha"), F.col("licitacion_id").alias("id"))
     return ends.unionByName(won).groupBy("fecha").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("tipo")), ",").alias("tipos"))
 
 
+_PAGE = Search(prefijos=["4"], estado="todas", orden="valor_estimado", descendente=True, pagina=3, as_of=AS_OF)
 _COLUMNS = ["titulo", "objeto", "num_expediente", "cpv", "valor_estimado", "fecha_fin_plazo", "estado_adjudicacion"]
 
 
@@ -246,18 +269,12 @@ def _search(sql_where: str | None, **how):
     return sql, Search(as_of=AS_OF, **how)
 
 
-def _needed(s: Search) -> list[str]:
-    """The columns that the search's predicate reads, and those shown."""
-    used = str(s.predicate()._jc.toString())
-    return [c for c in SEARCHED if c in used or c in ("titulo", "valor_estimado")]
-
-
 def _hits(name: str, where: str, **how) -> None:
     sql, s = _search(where, **how)
-    QUERIES[name], SQL[name] = (lambda spark, sf: search.hits(latest(spark, sf, *_needed(s)), s).select("licitacion_id", "titulo", "valor_estimado")), sql()
+    QUERIES[name], SQL[name] = (lambda spark, sf: search.hits(catalogue_of(spark, sf), s).select("licitacion_id", "titulo", "valor_estimado")), sql()
 
 
-_WORDS = f"regexp_extract_all({_FOLD.format('concat_ws(chr(32) || chr(1) || chr(32), titulo, objeto, organo_contratacion)')}.lower(), '[\\p{{L}}\\p{{N}}_]+|\\x01')"
+_WORDS = f"regexp_extract_all({_FOLD.format('lower(concat_ws(chr(32) || chr(1) || chr(32), titulo, objeto, organo_contratacion))')}, '[\\p{{L}}\\p{{N}}_]+|\\x01')"
 _hits("f6_text", f"list_contains({_WORDS}, 'conservacion') AND (list_contains({_WORDS}, 'zonas') OR list_contains({_WORDS}, 'alumbrado')) AND NOT list_contains({_WORDS}, 'ayuntamiento')", texto="conservación zonas OR alumbrado -Ayuntamiento", estado="todas")
 _hits("f6_phrase", f"contains(' ' || array_to_string({_WORDS}, ' ') || ' ', ' obras de ')", texto='"obras de"', estado="todas")
 _hits("f7_cpv_prefix", "len(list_filter(cpv, lambda c: starts_with(c, '45') OR starts_with(c, '773'))) > 0", prefijos=["45", "773"], estado="todas")
@@ -269,23 +286,23 @@ _hits("f13_dates", "fecha_publicacion >= TIMESTAMP '2024-01-01' AND fecha_public
 _hits("f14_f15_open", f"fecha_fin_plazo >= {TS}")
 _hits("f14_closed", f"fecha_fin_plazo < {TS}", estado="cerrada")
 
-_PAGE = Search(prefijos=["4"], estado="todas", orden="valor_estimado", descendente=True, pagina=3, as_of=AS_OF)
 
 
 @query(f"SELECT licitacion_id, valor_estimado FROM {_LATEST} WHERE len(list_filter(cpv, lambda c: starts_with(c, '4'))) > 0 ORDER BY valor_estimado DESC NULLS LAST, licitacion_id LIMIT 25 OFFSET 50")
 def o1_o2_page(spark, sf):
-    return search.page(latest(spark, sf, "cpv", "valor_estimado"), _PAGE).select("licitacion_id", "valor_estimado")
+    return search.page(catalogue_of(spark, sf), _PAGE).select("licitacion_id", "valor_estimado")
 
 
 @query(f"SELECT least(count(*), 5000) AS total, count(*) > 5000 AS topado FROM {_LATEST} WHERE fecha_fin_plazo < {TS}")
 def a13_capped_count(spark, sf):
-    return search.capped_count(latest(spark, sf, "fecha_fin_plazo"), Search(estado="cerrada", as_of=AS_OF))
+    return search.capped_count(catalogue_of(spark, sf), Search(estado="cerrada", as_of=AS_OF))
 
 
 CRITERIA = [("verde", ["773"], ["jardín", "zonas verdes"]), ("obra", ["45"], ["pavimentación"]), ("tic", ["72", "48"], ["informátic", "digitaliz"])]
-_TITLE = _FOLD.format("titulo") + ".lower()"
+_COMPAT = "translate(strip_accents(lower({})), 'ªº²³¹', 'ao231')"
+_TITLE = _COMPAT.format("titulo")
 _CASE = " ".join(
-    "WHEN " + " OR ".join([f"coalesce(len(list_filter(cpv, lambda c: {' OR '.join(f'starts_with(c, {p!r})' for p in ps)})) > 0, false)", *[f"coalesce(contains({_TITLE}, {_FOLD.format(repr(k))}), false)" for k in ks]]) + f" THEN '{c}'"
+    "WHEN " + " OR ".join([f"coalesce(len(list_filter(cpv, lambda c: {' OR '.join(f'starts_with(c, {p!r})' for p in ps)})) > 0, false)", *[f"coalesce(contains({_TITLE}, {_COMPAT.format(repr(k))}), false)" for k in ks]]) + f" THEN '{c}'"
     for c, ps, ks in CRITERIA
 )
 
@@ -295,7 +312,7 @@ def f1_f4_classify(spark, sf):
     return latest(spark, sf, "titulo", "cpv").withColumn("categoria", search.first_match("titulo", "cpv", CRITERIA)).where("categoria is not null").select("licitacion_id", "categoria")
 
 
-@query(f"SELECT ficha_id FROM competidores WHERE contains({_FOLD.format('upper(nombre_busqueda)')}, 'TRANSPORTES')")
+@query(f"SELECT ficha_id FROM competidores WHERE contains({_FOLD.format(_UPPER.format('nombre_busqueda'))}, 'TRANSPORTES')")
 def f22_name_contains(spark, sf):
     return table(spark, sf, "competidores").where(F.contains(n.fold_upper("nombre_busqueda"), n.fold_upper(F.lit("Transportés")))).select("ficha_id")
 
@@ -309,23 +326,41 @@ def j6_award_titles(spark, sf):
     return _adj(spark, sf).select("fila_id", "licitacion_id").join(t, "licitacion_id", "left").select("fila_id", "titulo", "organo_contratacion", F.col("hay").isNull().alias("fuera"))
 
 
-@query("SELECT d.licitacion_id, d.estado, a.cif_adjudicatario, count(*) AS lotes FROM decisiones d JOIN adjudicaciones a USING (licitacion_id) WHERE d.estado IN ('ganada', 'perdida', 'presentada') GROUP BY 1, 2, 3")
-def j7_head_to_head(spark, sf):
-    d = table(spark, sf, "decisiones").where(F.col("estado").isin("ganada", "perdida", "presentada")).select("licitacion_id", "estado")
-    return _adj(spark, sf).select("licitacion_id", "cif_adjudicatario").join(d, "licitacion_id").groupBy("licitacion_id", "estado", "cif_adjudicatario").agg(F.count(F.lit(1)).alias("lotes"))
+_MET = "d.estado IN ('ganada', 'perdida', 'presentada') AND a.cif_adjudicatario <> ''"
 
 
-@query(f"SELECT d.licitacion_id, coalesce(l.titulo, '(sin título)') AS titulo, coalesce(d.favorita, false) AS favorita FROM decisiones d LEFT JOIN {_LATEST} l USING (licitacion_id)")
+@query(f"""
+SELECT a.licitacion_id, a.lote, a.cif_adjudicatario, d.estado, a.fecha_adjudicacion, l.titulo FROM decisiones d JOIN {AWARDS} a USING (licitacion_id) LEFT JOIN {_LATEST} l USING (licitacion_id)
+WHERE {_MET} ORDER BY a.fecha_adjudicacion DESC NULLS LAST, a.licitacion_id, a.lote, a.cif_adjudicatario""")
+def j7_o7_head_to_head(spark, sf):
+    """All meetings, newest first."""
+    won = awards_once(spark, sf, "fecha_adjudicacion")
+    return views.head_to_head(table(spark, sf, "decisiones"), won, catalogue_of(spark, sf)).select("licitacion_id", "lote", "cif_adjudicatario", "estado", "fecha_adjudicacion", "titulo")
+
+
+@query(f"""
+SELECT d.licitacion_id, coalesce(l.titulo, '(sin título)') AS titulo, coalesce(d.favorita, false) AS favorita, l.licitacion_id IS NULL AS minima FROM decisiones d LEFT JOIN {_LATEST} l USING (licitacion_id)
+WHERE d.licitacion_id NOT IN (SELECT licitacion_id FROM bajas)""")
 def j8_j9_decision_cards(spark, sf):
-    d = table(spark, sf, "decisiones").select("licitacion_id", "favorita")
-    return d.join(latest(spark, sf, "titulo").select("licitacion_id", "titulo"), "licitacion_id", "left").select("licitacion_id", F.coalesce("titulo", F.lit("(sin título)")).alias("titulo"), F.coalesce("favorita", F.lit(False)).alias("favorita"))
+    """Decisions that the withdrawn ones don't cover, each with its notice, or a minimal row where the catalogue has none."""
+    d = table(spark, sf, "decisiones").select("licitacion_id", "favorita").join(table(spark, sf, "bajas"), "licitacion_id", "left_anti")
+    cards = d.join(catalogue_of(spark, sf).select("licitacion_id", "titulo", F.lit(True).alias("hay")), "licitacion_id", "left")
+    return cards.select("licitacion_id", F.coalesce("titulo", F.lit("(sin título)")).alias("titulo"), F.coalesce("favorita", F.lit(False)).alias("favorita"), F.col("hay").isNull().alias("minima"))
+
 
+_PAGE_SQL = f"(SELECT licitacion_id, valor_estimado FROM {_LATEST} WHERE len(list_filter(cpv, lambda c: starts_with(c, '4'))) > 0 ORDER BY valor_estimado DESC NULLS LAST, licitacion_id LIMIT 25 OFFSET 50)"
 
-@query("SELECT licitacion_id, string_agg(lote || '=' || cif_adjudicatario, ';' ORDER BY lote, cif_adjudicatario, fila_id) AS lotes FROM adjudicaciones GROUP BY 1")
-def j10_o9_lot_lists(spark, sf):
-    rows = F.array_sort(F.collect_list(F.struct("lote", "cif_adjudicatario", "fila_id")))
-    g = _adj(spark, sf).groupBy("licitacion_id").agg(rows.alias("r"))
-    return g.select("licitacion_id", F.array_join(F.transform("r", lambda x: F.concat(x["lote"], F.lit("="), x["cif_adjudicatario"])), ";").alias("lotes"))
+
+@query(f"""
+SELECT p.licitacion_id, coalesce(a.lotes, '') AS lotes FROM {_PAGE_SQL} p
+LEFT JOIN (SELECT licitacion_id, string_agg(lote || '=' || cif_adjudicatario, ';' ORDER BY lote, cif_adjudicatario) AS lotes FROM {AWARDS} GROUP BY 1) a USING (licitacion_id)""")
+def j10_o9_page_lots(spark, sf):
+    """A search's page, each notice with its lots; they sort as text."""
+    shown = search.page(catalogue_of(spark, sf), _PAGE).select("licitacion_id")
+    won = views.look_up(_adj(spark, sf).select(*AWARD_KEY), shown, "licitacion_id").distinct()
+    g = won.groupBy("licitacion_id").agg(F.array_sort(F.collect_list(F.struct("lote", "cif_adjudicatario"))).alias("r"))
+    lots = g.select("licitacion_id", F.array_join(F.transform("r", lambda x: F.concat(x["lote"], F.lit("="), x["cif_adjudicatario"])), ";").alias("lotes"))
+    return shown.join(lots, "licitacion_id", "left").select("licitacion_id", F.coalesce("lotes", F.lit("")).alias("lotes"))
 
 
 @query("""
@@ -341,18 +376,29 @@ def o4_top_competitors(spark, sf):
     return table(spark, sf, "competidores").orderBy(F.desc_nulls_last("importe_total_sin_iva"), "ficha_id").limit(20).select("ficha_id", "importe_total_sin_iva")
 
 
-@query("SELECT cif_adjudicatario, fila_id, puesto FROM (SELECT cif_adjudicatario, fila_id, row_number() OVER (PARTITION BY cif_adjudicatario ORDER BY fecha_adjudicacion DESC NULLS LAST, fila_id) AS puesto FROM adjudicaciones WHERE cif_adjudicatario <> '') WHERE puesto <= 50")
+_AMOUNT_ORDER = "nullif(importe_sin_iva, 0) DESC NULLS LAST, "
+
+
+def _dossier_sql(first: str) -> str:
+    return f"SELECT cif_adjudicatario, fila_id, puesto FROM (SELECT cif_adjudicatario, fila_id, row_number() OVER (PARTITION BY cif_adjudicatario ORDER BY {first}fecha_adjudicacion DESC NULLS LAST, licitacion_id, lote) AS puesto FROM {AWARDS} WHERE cif_adjudicatario <> '') WHERE puesto <= 1000"
+
+
+@query(_dossier_sql(""))
 def o5_dossiers(spark, sf):
-    """The newest awards of every identifier; the limit is pushed below the shuffle, so a giant sends its best rows only."""
-    w = Window.partitionBy("cif_adjudicatario").orderBy(F.desc_nulls_last("fecha_adjudicacion"), "fila_id")
-    return _adj(spark, sf).where("cif_adjudicatario <> ''").select("cif_adjudicatario", "fila_id", F.row_number().over(w).alias("puesto"), "fecha_adjudicacion").where("puesto <= 50").drop("fecha_adjudicacion")
+    """Every winner's newest thousand awards."""
+    return views.dossiers(awards_once(spark, sf, "fecha_adjudicacion", "importe_sin_iva")).select("cif_adjudicatario", "fila_id", "puesto")
+
+
+@query(_dossier_sql(_AMOUNT_ORDER))
+def o5_dossiers_by_amount(spark, sf):
+    return views.dossiers(awards_once(spark, sf, "fecha_adjudicacion", "importe_sin_iva"), by_amount=True).select("cif_adjudicatario", "fila_id", "puesto")
 
 
 # --- scalar functions ---------------------------------------------------------------------------------------------------------------
 
 
 @query(rf"""
-SELECT fila_id, nullif(trim(titulo), '') AS titulo, upper(regexp_replace(coalesce(num_expediente, ''), '[\s/.\-]', '', 'g')) AS expediente, {_FOLD.format("titulo")}.lower() AS plegado,
+SELECT fila_id, nullif(trim(titulo), '') AS titulo, upper(regexp_replace(coalesce(num_expediente, ''), '[\s/.\-]', '', 'g')) AS expediente, strip_accents(lower(titulo)) AS plegado,
        ' ' || coalesce(array_to_string(list_filter(cpv, lambda c: c IS NOT NULL), ' '), '') AS cpv_texto, strlen(titulo) AS bytes, TRY_CAST(regexp_extract(num_expediente, '^[A-Za-z ]*([0-9]+)', 1) AS INTEGER) AS numero,
        year(coalesce(fecha_publicacion, fecha_fin_plazo, ultima_vez))::INTEGER AS anio, date_diff('day', DATE '2025-06-01', fecha_fin_plazo::DATE)::INTEGER AS dias,
        CASE WHEN fecha_fin_plazo::DATE < DATE '2025-06-01' THEN 'caducada' ELSE 'activa' END AS vigencia, coalesce(list_slice(cpv, 1, 6), []) AS primeros
@@ -386,7 +432,7 @@ def code_labels(spark, sf):
 SELECT fila_id, date_diff('day', DATE '2025-06-01', fecha_fin_plazo::DATE)::INTEGER AS dias, CASE WHEN fecha_fin_plazo IS NULL OR fecha_fin_plazo::DATE < DATE '2025-06-01' THEN 'ninguna'
        WHEN fecha_fin_plazo::DATE < DATE '2025-06-04' THEN 'roja' WHEN fecha_fin_plazo::DATE < DATE '2025-06-08' THEN 'ambar' ELSE 'verde' END AS urgencia,
        coalesce(primera_vez::DATE >= DATE '2025-06-01' - 7, false) AS nueva FROM licitaciones""")
-def c15_c20_days(spark, sf):
+def c15_c16_c18_days(spark, sf):
     """Days left, urgency by them, and whether a notice is new."""
     today = F.lit(AS_OF).cast("date")
     days = F.datediff(F.to_date("fecha_fin_plazo"), today)
@@ -405,24 +451,46 @@ def p10_code_order(spark, sf):
 QUERIES["code_order"], SQL["code_order"] = QUERIES.pop("p10_code_order"), SQL.pop("p10_code_order")
 
 
-@query("""
-SELECT a.cif_adjudicatario, count(DISTINCT a.licitacion_id) AS expedientes, count(DISTINCT a.licitacion_id) FILTER (d.estado = 'perdida') AS perdidos, sum(a.importe_sin_iva)::DECIMAL(30,2) AS importe
-FROM decisiones d JOIN adjudicaciones a USING (licitacion_id) WHERE a.cif_adjudicatario <> '' AND d.estado IN ('ganada', 'perdida', 'presentada') GROUP BY 1""")
+_OWN = ["A38810605"]
+_RIVALS = f"""
+SELECT a.cif_adjudicatario, count(DISTINCT a.licitacion_id) AS expedientes, count(DISTINCT a.licitacion_id) FILTER (d.estado = 'perdida') AS perdidos, sum(a.importe_sin_iva)::DECIMAL(30,2) AS importe,
+       arg_max(a.adjudicatario, (coalesce(a.fecha_adjudicacion, DATE '1900-01-01'), a.licitacion_id, a.lote)) FILTER (trim(a.adjudicatario) <> '') AS nombre
+FROM decisiones d JOIN {AWARDS} a USING (licitacion_id) WHERE {_MET} AND a.cif_adjudicatario NOT IN ('{_OWN[0]}') GROUP BY 1"""
+
+
+def _rivals(spark, sf):
+    return views.rivals(table(spark, sf, "decisiones"), awards_once(spark, sf, "adjudicatario", "importe_sin_iva", "fecha_adjudicacion"), _OWN)
+
+
+@query(f"SELECT *, row_number() OVER (ORDER BY perdidos DESC, expedientes DESC, importe DESC NULLS LAST, cif_adjudicatario) AS puesto FROM ({_RIVALS}) ORDER BY puesto LIMIT 100")
 def a10_o6_rivals(spark, sf):
-    """Per winner, from one pre-aggregate per winner and file: files met in, files lost to it, amount."""
-    d = table(spark, sf, "decisiones").where(F.col("estado").isin("ganada", "perdida", "presentada")).select("licitacion_id", "estado")
-    per_file = _adj(spark, sf).where("cif_adjudicatario <> ''").join(d, "licitacion_id").groupBy("cif_adjudicatario", "licitacion_id").agg(F.max((F.col("estado") == "perdida").cast("int")).alias("perdido"), F.sum("importe_sin_iva").alias("importe"))
-    return per_file.groupBy("cif_adjudicatario").agg(F.count(F.lit(1)).alias("expedientes"), F.sum("perdido").cast("long").alias("perdidos"), F.sum("importe").cast("decimal(30,2)").alias("importe"))
+    """The hundred rivals met most, with their place."""
+    top = _rivals(spark, sf).limit(100)
+    w = Window.orderBy(F.desc("perdidos"), F.desc("expedientes"), F.desc_nulls_last("importe"), "cif_adjudicatario")  # a hundred rows
+    return top.withColumn("puesto", F.row_number().over(w))
 
 
-@query("""
-SELECT c.ficha_id, c.n_lotes, coalesce(a.lotes, 0) AS lotes_vistos, coalesce(a.importe, 0)::DECIMAL(30,2) AS importe_visto
-FROM competidores c LEFT JOIN (SELECT cif_adjudicatario AS k, count(*) AS lotes, sum(importe_sin_iva) AS importe FROM adjudicaciones GROUP BY 1) a ON c.cif = a.k""")
-def j12_a21_comparison(spark, sf):
-    """Every competitor's stored figures beside those of the awards; what is missing counts as 0."""
-    a = _adj(spark, sf).groupBy(F.col("cif_adjudicatario").alias("cif")).agg(F.count(F.lit(1)).alias("lotes"), F.sum("importe_sin_iva").alias("importe"))
+_COMPARED = ["B91897028", "A38810605", "B15353819"]
+
+
+@query(f"""
+WITH s AS (SELECT unnest([0, 1, 2]) AS orden, unnest({_COMPARED}) AS cif), r AS ({_RIVALS}), c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cif ORDER BY updated_at DESC NULLS LAST, ficha_id) AS k FROM competidores) WHERE k = 1)
+SELECT s.orden::INTEGER AS orden, s.cif, c.nombre_canonico AS nombre, coalesce(c.n_lotes, 0)::INTEGER AS n_lotes, c.importe_total_sin_iva AS importe, coalesce(r.expedientes, 0) AS expedientes, coalesce(r.perdidos, 0) AS perdidos
+FROM s LEFT JOIN c ON s.cif = c.cif LEFT JOIN r ON s.cif = r.cif_adjudicatario""")
+def j12_o11_comparator(spark, sf):
+    """Three competitors side by side."""
+    return views.comparison(_COMPARED, table(spark, sf, "competidores"), _rivals(spark, sf))
+
+
+@query(f"""
+SELECT c.ficha_id, coalesce(c.n_lotes, a.lotes, 0)::BIGINT AS n_lotes, coalesce(a.lotes, 0) AS lotes_vistos, coalesce(c.importe_total_sin_iva, a.importe, 0)::DECIMAL(30,2) AS importe
+FROM competidores c LEFT JOIN (SELECT cif_adjudicatario AS k, count(*) AS lotes, sum(importe_sin_iva) AS importe FROM {AWARDS} GROUP BY 1) a ON c.cif = a.k""")
+def a21_dossier_figures(spark, sf):
+    """Every competitor's figures: stored ones, else those of its awards, else 0."""
+    a = awards_once(spark, sf, "importe_sin_iva").groupBy(F.col("cif_adjudicatario").alias("cif")).agg(F.count(F.lit(1)).alias("lotes"), F.sum("importe_sin_iva").alias("importe"))
     zero = F.lit(0)
-    return table(spark, sf, "competidores").select("ficha_id", "cif", "n_lotes").join(a, "cif", "left").select("ficha_id", "n_lotes", F.coalesce("lotes", zero.cast("long")).alias("lotes_vistos"), F.coalesce("importe", zero.cast("decimal(30,2)")).cast("decimal(30,2)").alias("importe_visto"))
+    return table(spark, sf, "competidores").select("ficha_id", "cif", "n_lotes", "importe_total_sin_iva").join(a, "cif", "left").select(
+        "ficha_id", F.coalesce(F.col("n_lotes").cast("long"), "lotes", zero.cast("long")).alias("n_lotes"), F.coalesce("lotes", zero.cast("long")).alias("lotes_vistos"), F.coalesce("importe_total_sin_iva", "importe", zero).cast("decimal(30,2)").alias("importe"))
 
 
 @query(f"SELECT licitacion_id, fecha_fin_plazo FROM {_LATEST} ORDER BY fecha_fin_plazo < {TS} NULLS LAST, fecha_fin_plazo NULLS LAST, licitacion_id LIMIT 100")
@@ -437,13 +505,16 @@ def o3_o8_soonest(spark, sf):
 
 @query("SELECT user_id, min(ts) AS primera_vez, max(ts) AS ultima_vez, count(*) AS n FROM events GROUP BY 1")
 def t5_sightings(spark, sf):
-    return collected(sightings(stream_file(spark, sf, "events"), "user_id", "ts"), "complete")
+    """First and last sighting, batch by batch: each is summed up and merged with what was known."""
+    seen = Sightings(spark, fresh_path(spark, "sightings"), "user_id", "ts")
+    run_available(stream_file(spark, sf, "events"), seen.merge, fresh_path(spark, "stream-checkpoint"))
+    return seen.snapshot()
 
 
-@query("SELECT count(DISTINCT licitacion_id) AS n FROM licitaciones")
+@query("SELECT DISTINCT licitacion_id FROM licitaciones")
 def t3_stream_dedup(spark, sf):
-    s = stream_file(spark, sf, "licitaciones").select("licitacion_id", F.col("recibido_en").cast("timestamp").alias("recibido_en"))
-    return collected(distinct_stream(s, ["licitacion_id"], "recibido_en", "3650 days"), "append").agg(F.count(F.lit(1)).alias("n"))
+    s = stream_file(spark, sf, "licitaciones").select("licitacion_id")
+    return collected(distinct_stream(s, ["licitacion_id"]), "append").select("licitacion_id")
 
 
 # --- the engine on the sales tables -----------------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as e
-from almoneda import core_queries, reference_queries
+from almoneda import core_queries, reference_queries, view_queries
 
 
 def norm(v):
@@ -33,7 +33,7 @@ def test_every_sql_has_a_query():
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-@pytest.mark.parametrize("name", sorted(core_queries.SQL | reference_queries.SQL))
+@pytest.mark.parametrize("name", sorted(core_queries.SQL | reference_queries.SQL | view_queries.SQL))
 def test_query_equals_sql(spark, sf, db, name):
     df = e.queries()[name](spark, sf)
     r = db.execute(e.oracle_sql()[name])
