@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almoneda.plans.runtime import ship_file, shipped
+
 #: Where the vocabulary files of public tokenizers lie, unless a caller says otherwise.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -167,13 +169,15 @@ def encode_corpus(docs: DataFrame, key: str, text: str, path: str = f"{TOKENIZER
     """(doc, ids) and the columns of ``also``: every row's token ids.
 
     Null and empty texts give the empty list; repeated rows are encoded each; an empty table gives no rows. No shuffle: the rows are
-    encoded where they are read, in Arrow batches, and a worker remembers the pre-tokens it has met.
+    encoded where they are read, in Arrow batches, and a worker remembers the pre-tokens it has met. The vocabulary is a file of the driver's
+    machine; executors get it through the shared folder.
     """
     also = also or {}
+    name = ship_file(docs.sparkSession, path)
     read = docs.select(F.col(key).alias("doc"), *[e.alias(n) for n, e in also.items()], F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(shipped(name)).encode
         for b in batches:
             texts = b.column(b.schema.get_field_index("__text"))
             for at in range(0, len(texts), 1000):  # smaller batches out than in: a token is four bytes

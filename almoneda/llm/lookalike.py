@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХЗаеѕіјорсухкԁԛԝһӏ", "ABESIJKMHOPCTYX3aesijopcyxkdqwhl", strict=True))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανιρυχκ", "ABEZHIKMNOPTYXoavipuxk", strict=True))
 LATIN = dict(zip("ıɡɑᴏ", "igao", strict=True))
-LETTERS = CYRILLIC | GREEK | LATIN
+ARMENIAN = dict(zip("ՕՍՏԼօսոհցզյ", "OUSLounhgqj", strict=True))
+CHEROKEE = dict(zip("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏎᏙᏟᏢᏦᏞᏴᎽᏚ", "DRTAJEWMHGZ4VCPKLBYS", strict=True))
+LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU", strict=True))
+COPTIC = dict(zip("ⲀⲂⲤⲎⲔⲘⲚⲞⲢⲦⲬⲟⲣⲥ", "ABCHKMNOPTXopc", strict=True))
+LETTERS = CYRILLIC | GREEK | LATIN | ARMENIAN | CHEROKEE | LISU | COPTIC
 #: Marks that stand in for ASCII punctuation.
 MARKS = dict(zip("‚‐‑‒–—−⁄∕’‘ʼ′‛“”„″꞉∶⸱･", ",------//'''''\"\"\"\"::··", strict=True)) | {"‹": "<", "›": ">"}
 #: What is plain in this domain although compatibility normalization would change it.

@@ -20,28 +20,37 @@ from pyspark.sql import functions as F
 
 from almoneda.plans.runtime import materialize
 
-#: Buckets of token ids that the classifier counts.
-BUCKETS = 4096
 #: Documents a stratum of the rounding has at most, about.
 STRATUM = 200_000
 
 
 class Model(NamedTuple):
-    """Naive Bayes over token buckets; its log odds are tempered, because neighbouring tokens repeat one another's evidence."""
+    """Naive Bayes over the whole vocabulary; its log odds are tempered, because neighbouring tokens repeat one another's evidence.
+    ``loss`` and ``plain`` are the mean negative log likelihoods of held-out labels with the tempering and by the domains' frequencies alone."""
 
     domains: list[str]
     prior: np.ndarray
     weight: np.ndarray
     temper: float
+    loss: float | None = None
+    plain: float | None = None
 
     def posterior(self, ids: np.ndarray) -> np.ndarray:
         x = self.prior.copy()
         if len(ids):
-            x += self.temper * math.sqrt(len(ids)) * self.weight[:, ids % BUCKETS].mean(axis=1)
+            x += self.temper * math.sqrt(len(ids)) * self.weight[:, np.minimum(ids, self.weight.shape[1] - 1)].mean(axis=1)
         x = np.exp(x - x.max())
         return x / x.sum()
 
 
+    def posteriors(self, ids: np.ndarray) -> list[np.ndarray]:
+        """For each temper tried."""
+        means = math.sqrt(len(ids)) * self.weight[:, np.minimum(ids, self.weight.shape[1] - 1)].mean(axis=1) if len(ids) else np.zeros(len(self.prior))
+        x = self.prior + np.array(TEMPERS)[:, None] * means
+        x = np.exp(x - x.max(axis=1, keepdims=True))
+        return list(x / x.sum(axis=1, keepdims=True))
+
+
 #: Tempers tried; 0 leaves the domains' frequencies alone.
 TEMPERS = (0.0, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7, 1.0, 1.5)
 
@@ -56,40 +65,47 @@ def fit(docs: DataFrame, domains: list[str]) -> Model:
     place = {d: i for i, d in enumerate(model.domains)}
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(TEMPERS))
+        total, seen = np.zeros(len(TEMPERS)), 0
         for b in batches:
             for s, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 i = place.get(s)
                 if i is not None:
                     x = ids.values.to_numpy()
-                    total += [math.log(max(model._replace(temper=t).posterior(x)[i], 1e-30)) for t in TEMPERS]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(TEMPERS)), pa.int32()), pa.array(total)], ["t", "x"])
+                    total += [math.log(max(p[i], 1e-30)) for p in model.posteriors(x)]
+                    seen += 1
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(TEMPERS)), pa.int32()), pa.array(total), pa.array([seen] * len(TEMPERS), pa.int64())], ["t", "x", "n"])
 
-    scores = labelled.where(held).select("source", "ids").mapInArrow(score, "t int, x double").groupBy("t").agg(F.sum("x").alias("x")).collect()
+    scores = labelled.where(held).select("source", "ids").mapInArrow(score, "t int, x double, n long").groupBy("t").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).collect()
     best = max(scores, key=lambda r: (r.x, -r.t), default=None)
-    return model._replace(temper=TEMPERS[best.t]) if best else model
+    if best is None or not best.n:
+        return model
+    return model._replace(temper=TEMPERS[best.t], loss=-best.x / best.n, plain=-next(r.x for r in scores if TEMPERS[r.t] == 0) / best.n)
 
 
 def _counts(docs: DataFrame, domains: list[str], temper: float = 0.2) -> Model:
-    """From (source, ids); domains without any are left out. What reaches the driver is one count per domain and bucket."""
+    """From (source, ids); domains without any are left out. What reaches the driver is one count per domain and token id, in the end a
+    matrix as large as the vocabulary times the domains. An id that no labelled document has counts as once."""
     place = {d: i for i, d in enumerate(domains)}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, seen = np.zeros((len(domains), BUCKETS), np.int64), np.zeros(len(domains), np.int64)
+        n, seen = np.zeros((len(domains), 1 << 12), np.int64), np.zeros(len(domains), np.int64)
         for b in batches:
             for s, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 i = place.get(s)
                 if i is not None:
                     seen[i] += 1
-                    n[i] += np.bincount(ids.values.to_numpy() % BUCKETS, minlength=BUCKETS)
+                    got = np.bincount(ids.values.to_numpy())
+                    if len(got) > n.shape[1]:
+                        n = np.pad(n, ((0, 0), (0, max(len(got), 2 * n.shape[1]) - n.shape[1])))
+                    n[i, : len(got)] += got
         at = np.argwhere(n)
         d = np.r_[at[:, 0], np.arange(len(domains))].astype(np.int32)
         k = np.r_[at[:, 1], np.full(len(domains), -1)].astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(k), pa.array(np.r_[n[n > 0], seen])], ["d", "k", "n"])
 
     rows = docs.select("source", "ids").mapInArrow(count, "d int, k int, n long").groupBy("d", "k").agg(F.sum("n").alias("n")).toPandas()
-    n, seen = np.ones((len(domains), BUCKETS)), np.zeros(len(domains))
     words = rows[rows.k >= 0]
+    n, seen = np.ones((len(domains), int(words.k.max()) + 2 if len(words) else 1)), np.zeros(len(domains))  # the last stands for ids beyond
     n[words.d, words.k] += words.n
     seen[rows[rows.k < 0].d] += rows[rows.k < 0].n
     known = np.flatnonzero(seen)
@@ -149,26 +165,39 @@ def _sums(docs: DataFrame, steps: list[np.ndarray] | None, k: int) -> np.ndarray
     return out
 
 
-def solve(docs: DataFrame, shares: np.ndarray, total: float | None, most: int = 30, close: float = 1e-4) -> tuple[list[np.ndarray], float]:
+class Fit(NamedTuple):
+    """The steps taken, the size aimed at, the largest distance from a domain's goal as a share of the size, and whether it is within bounds."""
+
+    steps: list[np.ndarray]
+    size: float
+    gap: float
+    converged: bool
+
+
+def solve(docs: DataFrame, shares: np.ndarray, total: float | None, close: float = 1e-4, patience: int = 8) -> Fit:
     """The steps that bring the domains' expected tokens to ``shares`` of ``total`` tokens; by default the most that the caps allow at
-    these shares."""
+    these shares. It goes on until that is met within ``close``, or until ``patience`` passes have brought it no nearer: then the goals
+    can't be met, and the fit says so."""
     k = len(shares)
     room = _sums(docs, None, k)
     if not k or not (room > 0).any():
-        return [], 0.0
+        return Fit([], 0.0, 0.0, True)
     wanted = np.where(room > 0, shares, 0.0)
-    wanted = wanted / wanted.sum()
+    wanted = wanted / wanted.sum() if wanted.sum() else wanted
     size = min((room[i] / w for i, w in enumerate(wanted) if w > 0), default=0.0)
     size = size if total is None else total
     goal, steps = wanted * size, []
-    now = np.zeros(k)
-    for _ in range(most):
-        gap = np.where(room > 0, (now - goal) / np.maximum(room, 1e-9), 0.0)
-        if np.abs(now - goal).max() <= close * max(size, 1e-9):
-            break
-        steps.append(gap)
+    now, best, idle = np.zeros(k), math.inf, 0
+    while True:
+        gap = float(np.abs(now - goal).max()) / max(size, 1e-9)
+        if gap <= close or size <= 0:
+            return Fit(steps, size, gap, True)
+        idle = 0 if gap < best * 0.99 else idle + 1
+        best = min(best, gap)
+        if idle >= patience:
+            return Fit(steps, size, gap, False)
+        steps.append(np.where(room > 0, (now - goal) / np.maximum(room, 1e-9), 0.0))
         now = _sums(docs, steps, k)
-    return steps, size
 
 
 def _rounded(docs: DataFrame, steps: list[np.ndarray], k: int) -> DataFrame:
@@ -193,7 +222,8 @@ def mix(docs: DataFrame, weights: DataFrame, total: float | None = None) -> tupl
     """docs (doc, source, ids) and weights (source, peso, max_repeticiones), a small table, to the mix and the shares reached.
 
     The mix has doc, source, n_tokens, tasa, repeticiones of the documents used at least once. The shares have, for each weighted source,
-    its target (its weight over those of sources that can give anything), the tokens taken, by membership, and their share.
+    its target (its weight over those of sources that can give anything), the tokens taken, by membership, and their share; and for all
+    alike the passes of the fit, its distance from the goals, whether it converged, and the classifier's tempering and held-out losses.
     Sources without documents or tokens get a target of nothing. Documents of sources without a weight aren't used; empty and null
     texts have no tokens and can't move a share. Null weights and caps count as 0; of repeated weights the largest counts. Without
     documents or weights the mix is empty.
@@ -206,8 +236,8 @@ def mix(docs: DataFrame, weights: DataFrame, total: float | None = None) -> tupl
     members = materialize(memberships(docs, model, caps).where("n > 0"), "memberships")
     by_name = {r.source: r.peso for r in table}
     shares = np.array([by_name[d] for d in domains])
-    steps, size = solve(members, shares, total)
-    chosen = materialize(_rounded(members, steps, len(domains)).where("repeticiones > 0"), "mix")
+    fitted = solve(members, shares, total)
+    chosen = materialize(_rounded(members, fitted.steps, len(domains)).where("repeticiones > 0"), "mix")
     spark = docs.sparkSession
     taken = chosen.select(F.posexplode("p").alias("d", "m"), "n", "repeticiones").groupBy("d").agg(F.sum(F.col("m") * F.col("n") * F.col("repeticiones")).alias("tokens"))
     room = _sums(members, None, len(domains))
@@ -218,5 +248,6 @@ def mix(docs: DataFrame, weights: DataFrame, total: float | None = None) -> tupl
     aim = spark.createDataFrame([(places.get(r.source, -1), r.source, float(r.peso), float(goals.get(r.source, 0.0)), int(r.tope)) for r in table], "d int, source string, peso double, objetivo double, max_repeticiones int")
     report = aim.join(F.broadcast(taken), "d", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0.0)))
     whole = F.sum("tokens").over(Window.partitionBy(F.lit(0)))  # one row a weighted source
-    report = report.select("source", "peso", "objetivo", "max_repeticiones", F.round("tokens", 1).alias("tokens"), F.round(F.when(whole > 0, F.col("tokens") / whole).otherwise(0.0), 6).alias("cuota"))
+    report = report.select("source", "peso", "objetivo", "max_repeticiones", F.round("tokens", 1).alias("tokens"), F.round(F.when(whole > 0, F.col("tokens") / whole).otherwise(0.0), 6).alias("cuota"),
+                           F.lit(len(fitted.steps)).alias("pasos"), F.lit(fitted.gap).alias("distancia"), F.lit(fitted.converged).alias("convergido"), F.lit(model.temper).alias("temple"), F.lit(model.loss).cast("double").alias("perdida"), F.lit(model.plain).cast("double").alias("perdida_sin_texto"))
     return chosen.select("doc", "source", F.col("n").alias("n_tokens"), "tasa", "repeticiones"), report

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from almoneda.llm.names import ends_whole, is_stand_in, squeezed
 from almoneda.plans.runtime import materialize, maybe_broadcast
 
-#: Length of the letters that a cut name surely shares with the whole one: names are compared within those that begin alike.
+#: Longer names are compared within those that begin with the same letters; shorter ones with the beginnings of all names.
 HEAD = 4
 
 
@@ -36,14 +36,18 @@ def judged_names(long: DataFrame) -> DataFrame:
 
 
 def cut_names(names: DataFrame, by: str) -> DataFrame:
-    """(by, norma): names that are the beginning of a longer one under the same ``by``.
+    """(by, norma): names that are the beginning of a longer one under the same ``by``, however short.
 
-    In the order of the letters a name's extensions directly follow it, so one look ahead suffices. Names are first made distinct; those
-    under one key are split by how they begin, as a cut name begins like the whole one.
+    Names are first made distinct. In the order of the letters a name's extensions directly follow it, so one look ahead suffices; names
+    under one key are split by how they begin, as a cut name begins like the whole one. What is too short for that is looked up among
+    the short beginnings of all names, which are few.
     """
-    distinct = names.select(by, "norma").where((F.length("norma") >= HEAD) & F.col(by).isNotNull()).distinct()
+    distinct = names.select(by, "norma").where((F.length("norma") > 0) & F.col(by).isNotNull()).distinct()
     w = Window.partitionBy(by, F.substring("norma", 1, HEAD)).orderBy("norma")
-    return distinct.withColumn("sigue", F.lead("norma").over(w)).where(F.col("sigue").startswith(F.col("norma"))).select(by, "norma")
+    long = distinct.where(F.length("norma") >= HEAD).withColumn("sigue", F.lead("norma").over(w)).where(F.col("sigue").startswith(F.col("norma"))).select(by, "norma")
+    heads = F.explode(F.array(*[F.when(F.length("norma") > k, F.substring("norma", 1, k)) for k in range(1, HEAD)])).alias("norma")
+    short = distinct.where(F.length("norma") < HEAD).join(distinct.select(by, heads).where("norma is not null").distinct(), [by, "norma"])
+    return long.unionByName(short)
 
 
 def elect(long: DataFrame, half_life_s: float) -> DataFrame:

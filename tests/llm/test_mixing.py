@@ -37,9 +37,24 @@ def test_gradient_agrees_with_brute_force(spark):
     df = spark.createDataFrame([(int(a), [float(x) for x in b], int(c)) for a, b, c in zip(n, p, cap)], "n long, p array<double>, tope int")
     shares = np.array([0.5, 0.3, 0.2])
     total = 0.3 * float((n * cap).sum())
-    steps, size = solve(df, shares, total, most=60)
-    got = (rates(p, cap.astype(float), steps) * n) @ p
-    assert size == total and np.abs(got / got.sum() - shares).max() < 0.01
+    fitted = solve(df, shares, total)
+    got = (rates(p, cap.astype(float), fitted.steps) * n) @ p
+    assert fitted.converged and fitted.size == total and np.abs(got / got.sum() - shares).max() < 0.01
+
+
+def test_goals_out_of_reach_are_told(spark):
+    """All documents are half of each domain: no rates give nine to one."""
+    df = spark.createDataFrame([(10, [0.5, 0.5], 2)] * 20, "n long, p array<double>, tope int")
+    fitted = solve(df, np.array([0.9, 0.1]), 200.0)
+    assert not fitted.converged and fitted.gap > 0.3
+
+
+def test_every_token_id_counts_by_itself(spark):
+    """Ids that a smaller table would fold together tell the domains apart."""
+    rows = [(i, "ab"[i % 2], [7 + 4096 * (i % 2), 50_000]) for i in range(200)]
+    model = fit(spark.createDataFrame(rows, "doc long, source string, ids array<int>"), ["a", "b"])
+    assert model.posterior(np.array([7])).argmax() == 0 and model.posterior(np.array([4103])).argmax() == 1 and model.posterior(np.array([10**6])).sum() == pytest.approx(1)
+    assert model.loss < model.plain
 
 
 def test_classifier_on_held_out(spark):

@@ -25,11 +25,20 @@ def test_votes_of_older_values_add_up_with_a_long_half_life(spark):
     assert elect(df.limit(0), 1.0).count() == 0
 
 
+def test_votes_by_days(spark):
+    """With the half-life in use: days outweigh agreement, hours don't; trust counts."""
+    from almoneda.llm.queries import HALF_LIFE_S
+
+    day, hour = 86400, 3600
+    df = rows(spark, [("a", "f", "x", "X", 1, 0, 1), ("a", "f", "x", "X", 2, hour, 1), ("a", "f", "y", "Y", 3, 10 * day, 1), ("b", "f", "x", "X", 1, 0, 1), ("b", "f", "x", "X", 2, hour, 1), ("b", "f", "y", "Y", 3, 2 * hour, 1), ("c", "f", "x", "X", 1, 0, 4), ("c", "f", "y", "Y", 2, hour, 1)])
+    assert {r.grupo: r.valor for r in elect(df, HALF_LIFE_S).collect()} == {"a": "Y", "b": "X", "c": "X"}
+
+
 def test_stand_ins_and_cut_names(spark):
     assert all(map(is_stand_in, [None, "", "  ", "n.a.", "N/D", "???", "XXXXX", "No consta", "Ver resolución", "-", "s/n"])) and not is_stand_in("Строймонт 7")
     assert ends_whole("Uno Dos, S.L.U.", True) and ends_whole("UNO S․COOP.", True) and not ends_whole("Uno Dos Tr", True) and not ends_whole("Isabel Gude", False)
-    df = spark.createDataFrame([("k", "ISABELGUDEFE"), ("k", "ISABELGUDEFEBELO"), ("k", "ISABELGUDEFEBELORIFA"), ("j", "ISABELGUDEFE"), (None, "X"), ("k", "BELO")], "d string, norma string")
-    assert {(r.d, r.norma) for r in cut_names(df, "d").collect()} == {("k", "ISABELGUDEFE"), ("k", "ISABELGUDEFEBELO")}
+    df = spark.createDataFrame([("k", "ISABELGUDEFE"), ("k", "ISABELGUDEFEBELO"), ("k", "ISABELGUDEFEBELORIFA"), ("j", "ISABELGUDEFE"), (None, "X"), ("k", "BELO"), ("s", "IS"), ("s", "ISABEL"), ("s", "B"), ("t", "B"), ("t", "BE"), ("t", "BEL"), ("", ""), ("t", "")], "d string, norma string")
+    assert {(r.d, r.norma) for r in cut_names(df, "d").collect()} == {("k", "ISABELGUDEFE"), ("k", "ISABELGUDEFEBELO"), ("s", "IS"), ("t", "B"), ("t", "BE")}
     long = spark.createDataFrame([("A B C", False), ("A B", False), ("A B", None), (None, True), ("y" * 50000, None)], "valor string, empresa boolean")
     assert sorted(((r.valor[:5], r.empresa, r.posible) for r in judged_names(long).collect()), key=str) == sorted([("A B C", False, True), ("A B", False, False), ("A B", None, True), ("yyyyy", None, True)], key=str)
 
