@@ -5,19 +5,21 @@ from __future__ import annotations
 import io
 import json
 import re
+import time
 import zipfile
-from collections.abc import Iterable, Iterator
+import zlib
+from collections.abc import Iterator
 from datetime import date
+from typing import IO
 from urllib.parse import urljoin
 from urllib.request import urlopen
 from xml.etree import ElementTree
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-#: Fixed value: pages read of a feed at most.
+#: Fixed value: pages read of a feed at most, unless more are asked for; the feed's state tells.
 MAX_PAGES = 20
 
 
@@ -40,59 +42,159 @@ def as_tree(e: ElementTree.Element) -> object:
     return kids | {"#text": text} if text is not None else kids
 
 
-def entries_of(data: bytes) -> list[str]:
-    """The entries of a feed document, as JSON; an unreadable document has none."""
+def entries_in(stream: IO[bytes]) -> Iterator[str | None]:
+    """The entries of a feed document, as JSON, one at a time as they are read; a damaged document gives those before the damage and then
+    raises ParseError."""
+    for _, e in ElementTree.iterparse(stream):
+        if _local(e.tag) == "entry":
+            yield json.dumps({"entry": as_tree(e)}, ensure_ascii=False)
+            e.clear()
+
+
+def entries_of(data: bytes) -> tuple[list[str], str | None, str | None]:
+    """(entries, next link, error) of a feed document."""
+    out: list[str] = []
+    link = None
     try:
-        root = ElementTree.fromstring(data)
-    except ElementTree.ParseError:
-        return []
-    return [json.dumps({"entry": as_tree(e)}, ensure_ascii=False) for e in root.iter() if _local(e.tag) == "entry"]
+        for _, e in ElementTree.iterparse(io.BytesIO(data)):
+            tag = _local(e.tag)
+            if tag == "entry":
+                out.append(json.dumps({"entry": as_tree(e)}, ensure_ascii=False))
+                e.clear()
+            elif tag == "link" and e.get("rel") == "next":
+                link = e.get("href")
+    except ElementTree.ParseError as err:
+        return out, link, f"damaged document: {err}"
+    return out, link, None
+
+
+ARCHIVED = "archivo string, documento string, posicion int, cuerpo string, error string"
+#: Bytes of members, uncompressed, that one task takes.
+TASK_BYTES = 64 << 20
+
 
+class ArchiveFeed(DataSource):
+    """spark.read.format("archive_feed").load(folder): every entry of the archives and feed documents below a folder of the shared store, in
+    the columns of ARCHIVED. Only the archives' directories are read for planning; a task opens its members by itself and reads entry after
+    entry, so that no archive or document is held as a whole; archives within archives are read from the stream too. What is damaged gives a
+    row with ``error`` and no body, after the rows that could be read."""
 
-def next_link(data: bytes) -> str | None:
+    @classmethod
+    def name(cls) -> str:
+        return "archive_feed"
+
+    def schema(self) -> str:
+        return ARCHIVED
+
+    def reader(self, schema) -> DataSourceReader:
+        return _ArchiveReader(self.options)
+
+
+class _ArchiveReader(DataSourceReader):
+    def __init__(self, options) -> None:
+        self.at = options["path"]
+        self.task_bytes = int(options.get("task_bytes", TASK_BYTES))
+
+    def partitions(self):
+        """Groups of members, [(archive, member or none for a plain document, error)]."""
+        from pyarrow import fs
+        from pyspark.sql.datasource import InputPartition
+
+        store, root = fs.FileSystem.from_uri(self.at)
+        files = sorted((f.path, f.size) for f in store.get_file_info(fs.FileSelector(root, recursive=True)) if f.is_file) if store.get_file_info(root).type == fs.FileType.Directory else [(root, store.get_file_info(root).size)]
+        found: list[tuple[str, str | None, str | None, int]] = []
+        for path, size in files:
+            if path.lower().endswith(".zip"):
+                try:
+                    with store.open_input_file(path) as f, zipfile.ZipFile(f) as z:
+                        found += [(path, i.filename, None, i.file_size) for i in z.infolist() if not i.is_dir() and _wanted(i.filename)]
+                except (zipfile.BadZipFile, OSError, ValueError) as e:
+                    found.append((path, None, f"damaged archive: {e}", 0))
+            elif _wanted(path):
+                found.append((path, None, None, size or 0))
+        groups: list[list] = []
+        held = 0
+        for path, member, error, size in found:
+            if not groups or held + size > self.task_bytes:
+                groups.append([])
+                held = 0
+            groups[-1].append((path, member, error))
+            held += size
+        return [InputPartition(g) for g in groups] or [InputPartition([])]
+
+    def read(self, partition):
+        from pyarrow import fs
+
+        store, _ = fs.FileSystem.from_uri(self.at)
+        for path, member, error in partition.value:
+            if error:
+                yield path, None, None, None, error
+            elif member is None:
+                with store.open_input_file(path) as f:
+                    yield from _document(path, path.rpartition("/")[2], f)
+            else:
+                try:
+                    with store.open_input_file(path) as f, zipfile.ZipFile(f) as z:
+                        yield from _member(path, z, member)
+                except (zipfile.BadZipFile, OSError, ValueError) as e:
+                    yield path, member, None, None, f"damaged archive: {e}"
+
+
+def _wanted(name: str) -> bool:
+    return name.lower().endswith((".atom", ".xml", ".zip"))
+
+
+def _member(path: str, z: zipfile.ZipFile, name: str) -> Iterator[tuple]:
     try:
-        root = ElementTree.fromstring(data)
-    except ElementTree.ParseError:
-        return None
-    return next((e.get("href") for e in root if _local(e.tag) == "link" and e.get("rel") == "next"), None)
-
-
-def members(name: str, data: bytes) -> Iterator[tuple[str, bytes]]:
-    """Feed documents in an archive, and in archives within it."""
-    if name.lower().endswith(".zip"):
-        try:
-            with zipfile.ZipFile(io.BytesIO(data)) as z:
-                for i in z.infolist():
-                    if not i.is_dir():
-                        yield from members(i.filename, z.read(i))
-        except zipfile.BadZipFile:
-            return
-    elif name.lower().endswith((".atom", ".xml")):
-        yield name, data
+        with z.open(name) as f:
+            if not name.lower().endswith(".zip"):
+                yield from _document(path, name, f)
+                return
+            with zipfile.ZipFile(f) as inner:
+                for i in inner.infolist():
+                    if not i.is_dir() and _wanted(i.filename):
+                        yield from _member(path, inner, i.filename)
+    except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, ValueError) as e:
+        yield path, name, None, None, f"damaged archive: {e}"
+
+
+def _document(path: str, name: str, stream: IO[bytes]) -> Iterator[tuple]:
+    k = 0
+    try:
+        for e in entries_in(stream):
+            yield path, name, k, e, None
+            k += 1
+    except ElementTree.ParseError as e:
+        yield path, name, None, None, f"damaged document: {e}"
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(archivo, documento, posicion, cuerpo): every entry in the archives and feed documents under a path; unreadable ones are skipped."""
+    """(archivo, documento, posicion, cuerpo, error): see ArchiveFeed."""
+    spark.dataSource.register(ArchiveFeed)
+    return spark.read.format("archive_feed").load(path)
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for p, c in zip(b["path"], b["content"], strict=True):
-                out = [(p, n, k, e) for n, d in members(p, c) for k, e in enumerate(entries_of(d))]
-                yield pd.DataFrame(out, columns=["archivo", "documento", "posicion", "cuerpo"])
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInPandas(run, "archivo string, documento string, posicion int, cuerpo string")
+def entries(df: DataFrame) -> DataFrame:
+    """The rows with a body."""
+    return df.where("cuerpo is not null")
+
+
+def damages(df: DataFrame) -> DataFrame:
+    """What couldn't be read: (archivo, documento, error)."""
+    return df.where("error is not null").select("archivo", "documento", "error")
 
 
 class PagedFeed(DataSource):
-    """spark.read.format("paged_feed").option("urls", "a b"): a partition per feed, its pages followed by their next links. A page that
-    fails ends its feed; what was read before stays."""
+    """spark.read.format("paged_feed").option("urls", "a b"): a partition per feed, its pages followed by their next links. The last row of a
+    feed has no body but its state: 'completa', 'topada' (there was another page beyond ``max_pages``, 20 unless given) or 'fallida', with
+    the error. A page that fails ends its feed; what was read before stays."""
 
     @classmethod
     def name(cls) -> str:
         return "paged_feed"
 
     def schema(self) -> str:
-        return "feed string, pagina int, posicion int, cuerpo string"
+        return "feed string, pagina int, posicion int, cuerpo string, estado string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return _PagedReader(self.options)
@@ -102,6 +204,7 @@ class _PagedReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.urls = options["urls"].split()
         self.most = int(options.get("max_pages", MAX_PAGES))
+        self.pause = float(options.get("pause_s", 0))
 
     def partitions(self):
         from pyspark.sql.datasource import InputPartition
@@ -109,19 +212,29 @@ class _PagedReader(DataSourceReader):
         return [InputPartition(u) for u in self.urls]
 
     def read(self, partition):
-        url, page, seen = partition.value, 0, set()
-        while url and page < self.most and url not in seen:
+        feed, url, page, seen = partition.value, partition.value, 0, set()
+        while url and url not in seen:
+            if page >= self.most:
+                yield feed, page, None, None, "topada", None
+                return
             seen.add(url)
             try:
                 with urlopen(url, timeout=60) as r:  # noqa: S310
                     data = r.read()
-            except OSError:
+            except OSError as e:
+                yield feed, page + 1, None, None, "fallida", str(e)
                 return
             page += 1
-            for k, e in enumerate(entries_of(data)):
-                yield partition.value, page, k, e
-            step = next_link(data)
+            found, step, error = entries_of(data)
+            for k, e in enumerate(found):
+                yield feed, page, k, e, None, None
+            if error:
+                yield feed, page, None, None, "fallida", error
+                return
             url = urljoin(url, step) if step else None
+            if url and self.pause:
+                time.sleep(self.pause)
+        yield feed, page, None, None, "completa", None
 
 
 def code_list(spark: SparkSession, path: str) -> DataFrame:

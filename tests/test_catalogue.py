@@ -34,10 +34,17 @@ def test_archives_nested_and_damaged(spark, tmp_path):
         z.writestr("in.zip", inner.getvalue())
     (tmp_path / "o.zip").write_bytes(outer.getvalue())
     (tmp_path / "broken.zip").write_bytes(b"PK")
-    rows = feeds.read_archives(spark, str(tmp_path)).withColumn("k", F.monotonically_increasing_id())
-    assert rows.count() == 3
+    (tmp_path / "half.atom").write_bytes(document([4, 5])[:-120])
+    every = feeds.read_archives(spark, str(tmp_path))
+    rows = feeds.entries(every).withColumn("k", F.monotonically_increasing_id())
+    assert rows.count() == 4
+    bad = {(r.archivo.rpartition("/")[2], r.documento) for r in feeds.damages(every).collect()}
+    assert bad == {("broken.zip", None), ("o.zip", "bad.atom"), ("half.atom", "half.atom")}
+    small = spark.read.format("archive_feed").option("task_bytes", 1).load(str(tmp_path))
+    assert sorted(map(str, feeds.entries(small).collect())) == sorted(map(str, feeds.entries(every).collect())) and small.rdd.getNumPartitions() >= 4
+    assert feeds.read_archives(spark, f"file://{tmp_path}/o.zip").count() == 4
     flat = feed_bodies(rows, "k", "cuerpo")
-    assert sorted(r.licitacion_id for r in notices(flat).collect()) == ["e1", "e2", "e3"]
+    assert sorted(r.licitacion_id for r in notices(flat).collect()) == ["e1", "e2", "e3", "e4"]
     assert {(r.lote, r.cif_adjudicatario) for r in awards(flat).collect()} == {("1", "A28141935"), ("1", "U1"), ("", "")}
 
 
@@ -45,8 +52,22 @@ def test_paged_feed_follows_links_and_survives_a_missing_page(spark, tmp_path):
     (tmp_path / "1.atom").write_bytes(document([1, 2], "2.atom"))
     (tmp_path / "2.atom").write_bytes(document([3], "missing.atom"))
     spark.dataSource.register(feeds.PagedFeed)
-    df = spark.read.format("paged_feed").option("urls", f"file://{tmp_path}/1.atom file://{tmp_path}/none.atom").load()
-    assert [(r.pagina, json.loads(r.cuerpo)["entry"]["id"]) for r in df.orderBy("pagina", "posicion").collect()] == [(1, "e1"), (1, "e2"), (2, "e3")]
+    read = lambda n: spark.read.format("paged_feed").option("urls", f"file://{tmp_path}/1.atom file://{tmp_path}/none.atom file://{tmp_path}/3.atom").option("max_pages", n).load()
+    (tmp_path / "3.atom").write_bytes(document([7]))
+    df = read(20)
+    first = df.where(f"feed like '%/1.atom' and cuerpo is not null")
+    assert [(r.pagina, json.loads(r.cuerpo)["entry"]["id"]) for r in first.orderBy("pagina", "posicion").collect()] == [(1, "e1"), (1, "e2"), (2, "e3")]
+    state = lambda d: {r.feed[-6:]: r.estado for r in d.where("estado is not null").collect()}
+    assert state(df) == {"1.atom": "fallida", "e.atom": "fallida", "3.atom": "completa"} and state(read(1))["1.atom"] == "topada"
+
+
+def test_a_feed_of_many_pages_tells_that_it_was_cut(spark, tmp_path):
+    for i in range(25):
+        (tmp_path / f"{i}.atom").write_bytes(document([i], f"{i + 1}.atom" if i < 24 else None))
+    spark.dataSource.register(feeds.PagedFeed)
+    read = lambda **o: spark.read.format("paged_feed").options(urls=f"file://{tmp_path}/0.atom", **o).load()
+    assert read().where("cuerpo is not null").count() == 20 and read().where("estado = 'topada'").count() == 1
+    assert read(max_pages=100).where("cuerpo is not null").count() == 25 and read(max_pages=100).where("estado = 'completa'").count() == 1
 
 
 def test_code_list_periods_and_missing_table(spark, tmp_path):
@@ -141,3 +162,61 @@ def test_a_stream_resumes_where_it_stopped(spark, tmp_path):
     assert sorted(map(tuple, seen.snapshot().collect())) == [("x", 1, 5, 2), ("y", 2, 2, 1)]
     order = []
     assert maintenance([("a", lambda: order.append(1)), ("b", lambda: 1 / 0), ("c", lambda: order.append(3))]).keys() == {"a", "b", "c"} and order == [1, 3]
+
+
+def test_load_state_published_tables_and_configuration(spark, tmp_path):
+    from almoneda.operators.published import LoadState, Published, State
+
+    at = f"file://{tmp_path}/load.json"
+    load = LoadState(spark, at)
+    assert load.pending(["a", "b"]) == ["a", "b"] and not load.seen("a", "1")
+    load.done("a", ["1", "2"])
+    assert LoadState(spark, at).seen("a", "2") and LoadState(spark, at).pending(["a", "b"]) == ["a", "b"]
+    load.done("a")
+    assert LoadState(spark, at).pending(["a", "b"]) == ["b"] and not LoadState(spark, at).documents
+    (tmp_path / "config.json").write_text("")
+    assert State(spark, f"file://{tmp_path}/config.json").load({"x": 1}) == {"x": 1}
+    table = Published(spark, f"file://{tmp_path}/t")
+    assert table.read() is None and table.publish(spark.range(3)) == 3
+    held = table.read()
+    assert table.publish(spark.range(5)) == 5 and held.count() == 3 and table.read().count() == 5 == table.rows()
+    with pytest.raises(Exception):  # noqa: B017
+        table.publish(spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id")))
+    assert table.read().count() == 5 and table.expire(0) >= 1 and table.read().count() == 5
+
+
+def test_envelope_and_loose_parameters(spark, sf):
+    from almoneda.operators.search import coerced, run
+
+    t = spark.read.parquet(f"{sf}/licitaciones.parquet")
+    now = d.datetime(2025, 6, 1)
+    s = coerced({"texto": " ", "prefijos": "45-1, 773;", "importe_min": "x", "importe_max": "1e3", "fin_desde": "2025-01-01", "estado": "quizá", "orden": "otra", "pagina": "0", "por_pagina": "7", "fuente": 3}, now)
+    assert (s.texto, s.prefijos, s.importe, s.fin, s.estado, s.orden, s.pagina, s.por_pagina, s.fuente) == ("", ["45", "773"], (None, 1000.0), (d.datetime(2025, 1, 1), None), None, "fecha_fin_plazo", 1, 7, None)
+    found = run(t, Search(estado="todas", pagina=2, por_pagina=7, as_of=now), cap=10)
+    assert (found.total, found.topado, found.mostradas, found.paginas, found.resumen) == (10, True, (8, 14), 2, "8-14 de 10+")
+    made = json.loads(found.json().first().json)
+    assert made["total"] == 10 and len(made["filas"]) == 7 and made["topado"] and [r["fila_id"] for r in made["filas"]] == [r.fila_id for r in found.rows.collect()]
+    every = run(t, Search(estado="todas", pagina=99, por_pagina=100, as_of=now))
+    assert every.mostradas == (0, 0) and not every.topado and every.total == t.count()
+    for bad in (Search(expediente="1/", estado="todas"), Search(fuente="estatal", as_of=now)):
+        with pytest.raises(ValueError):
+            run(t, bad, by_text=True)
+
+
+def test_views(spark):
+    from almoneda.operators import views
+
+    assert views.active_terms(["a", {"v": " b ", "on": True}, {"v": "c", "on": False}, "", 3, {"x": 1}]) == ["a", "b"] and views.active_terms(None) == []
+    assert views.active_criteria({"categorias": {"x": {"cpv": ["1"]}, "y": 2, "z": {}}}, []) == [("x", ["1"], [])] and views.active_criteria({}, [("f", [], [])]) == [("f", [], [])]
+    assert views.toggled(["a", "b"], "a") == ["b"] and views.toggled(["a", "b", "c"], "d") == ["a", "b", "c"]
+    assert views.is_identifier(" a-28.141.935") and not views.is_identifier("TRANSPORTES") and not views.is_identifier("a1")
+    rows = spark.createDataFrame([("t1", ["45"], "estatal", None, "ES1"), ("jardín", ["9"], "estatal", "P", None), ("x", ["45"], "otra", "P", "ES1")], "titulo string, cpv array<string>, fuente string, plataforma string, region string")
+    seen = views.radar(rows, "titulo", "cpv", [("obra", ["45"], []), ("verde", [], ["jardin"])], views.territory("plataforma", "region", ["Estado", "P"], []), ["estatal"])
+    assert sorted((r.titulo, r.categoria) for r in seen.collect()) == [("jardín", "verde"), ("t1", "obra")]
+    assert [r.titulo for r in rows.where(views.territory("plataforma", "region", [], ["ES1"])).collect()] == ["t1", "x"]
+    dup = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert views.point(dup, "k", 2).count() == 1 and views.point(dup, "k", 9).count() == 0
+    with pytest.raises(Exception):  # noqa: B017
+        views.point(dup, "k", 1).collect()
+    r = spark.createDataFrame([("ﬁn º ÁÑő a\u0301", "1.234,5")], "a string, b string").select(n.fold_compat("a"), n.fold("a"), n.slug("a"), n.decimal_comma(F.lit(" 12,5 ")), n.spanish_amount(F.lit("1234.5")), n.first_year(F.lit("20x4"), F.lit("2023-01-01")), n.first_year(F.lit(None).cast("string"))).first()
+    assert tuple(map(str, r)) == ("fin o ano a", "ﬁn º ano a", "fin-o-ano-a", "12.50", "1.234,50 €", "2023", "s/f")
