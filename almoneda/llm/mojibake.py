@@ -221,9 +221,23 @@ def garbled_documents(docs: DataFrame, key: str, text: str, ratio: float = 3.0)
     return per_doc.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("cambios"))).alias("cambios"))
 
 
+#: The letters beyond ASCII of the languages at hand.
+LETTERS = frozenset("áéíóúüñçàèòïãõâêôÁÉÍÓÚÜÑÇÀÈÒÏÃÕÂÊÔªº")
+
+
+def _unattested(word: str, chain: str) -> str:
+    """A word that no other text attests, in a text garbled by the chain: led back if it has a sign that isn't a letter of the languages at hand
+    and the way back has only such letters, between quotes perhaps; else it may well be sound, and stays."""
+    odd = [c for c in word if c > "\x7f"]
+    if len(word) - len(odd) < 2 or LETTERS.issuperset(odd):
+        return word
+    back = ungarble(word, tuple(chain.split("|")))
+    return back if back is not None and all(c <= "\x7f" or c in LETTERS for c in back.strip("«»“”‘’…")) else word
+
+
 def restore_text(text: str, changes: list[tuple[str, str | None, list[str], bool]]) -> str:
     """Substitutes garbled words by their originals. A word without an attested original is led back through the chain that most of
-    the document's garbled words share, if that goes there and back again; else it stays."""
+    the document's garbled words share, if that goes there and back again; else it stays. So is a word that occurs nowhere else."""
     votes: dict[str, int] = {}
     for _, _, names, strong in changes:
         if strong:
@@ -239,7 +253,8 @@ def restore_text(text: str, changes: list[tuple[str, str | None, list[str], bool
                 if c in names and (back := ungarble(w, tuple(c.split("|")))) is not None:
                     table[w] = back
                     break
-    return _WORD.sub(lambda m: table.get(m[0], m[0]), text)
+    first = order[0] if order else None
+    return _WORD.sub(lambda m: table[m[0]] if m[0] in table else _unattested(m[0], first) if first else m[0], text)
 
 
 def restored_documents(docs: DataFrame, key: str, text: str, ratio: float = 3.0) -> DataFrame:
