@@ -69,3 +69,11 @@ def purge(df: DataFrame, key: str, old: Column, protected: list[DataFrame]) -> t
     for p in protected:
         gone = gone.join(p.select(key), key, "left_anti")
     return df.join(gone.select(key).distinct(), key, "left_anti"), gone
+
+
+def filled(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Defaults in place of nulls, and of columns that aren't there."""
+    out = df
+    for c, v in defaults.items():
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)) if c in df.columns else F.lit(v))
+    return out

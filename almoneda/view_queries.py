@@ -358,3 +358,54 @@ def c29_json(spark, sf):
 @query("SELECT fila_id, coalesce(replace(replace(replace(format('{:,.2f}', importe_sin_iva::DOUBLE), ',', '#'), '.', ','), '#', '.') || ' €', '—') AS euros FROM adjudicaciones")
 def c25_amounts(spark, sf):
     return table(spark, sf, "adjudicaciones").select("fila_id", n.spanish_amount("importe_sin_iva").alias("euros"))
+
+
+# --- radar state, defaults, sizes, purge
+
+_RADAR = ["objeto", "organo_contratacion", "num_expediente", "presupuesto_con_iva", "presupuesto_sin_iva", "valor_estimado", "fecha_publicacion", "fecha_fin_plazo", "ultima_vez", "estado_adjudicacion", "n_lotes_desiertos"]
+_KEEP = ["primera_vez", "fuente", "titulo", "enlace"]
+_STATE = "SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY licitacion_id ORDER BY recibido_en DESC, fila_id DESC) AS k FROM licitaciones WHERE recibido_en {} TIMESTAMP '" + CUT + "') WHERE k = 1"
+
+
+@query(f"""
+WITH b AS ({_STATE.format("<")}), x AS ({_STATE.format(">=")})
+SELECT licitacion_id, {", ".join(f"CASE WHEN x.fila_id IS NOT NULL THEN x.{c} ELSE b.{c} END AS {c}" for c in _RADAR)}, {", ".join(f"CASE WHEN b.fila_id IS NOT NULL THEN b.{c} ELSE x.{c} END AS {c}" for c in _KEEP)} FROM b FULL JOIN x USING (licitacion_id)""")
+def d4_radar_merge(spark, sf):
+    """The state merged with a new reading: eleven fields are refreshed, also by null; what was first seen stays."""
+    rows = table(spark, sf, "licitaciones").select("licitacion_id", "recibido_en", "fila_id", *_RADAR, *_KEEP)
+    at = F.lit(CUT).cast("timestamp_ntz")
+    old, new = (merge.pick(rows.where(c), ["licitacion_id"], F.struct("recibido_en", "fila_id")).drop("recibido_en", "fila_id") for c in (F.col("recibido_en") < at, F.col("recibido_en") >= at))
+    return merge.upsert(old, new, ["licitacion_id"], refresh=_RADAR, keep=_KEEP)
+
+
+@query("SELECT licitacion_id, coalesce(estado, 'sin decidir') AS estado, coalesce(favorita, false) AS favorita, 'decision' AS origen FROM decisiones UNION ALL SELECT licitacion_id, 'sin decidir', false, coalesce(fuente, '—') FROM bajas")
+def d5_d8_defaults(spark, sf):
+    """Records of two shapes under one, missing keys and nulls filled in."""
+    a = table(spark, sf, "decisiones").select("licitacion_id", "estado", "favorita", F.lit("decision").alias("origen"))
+    return merge.filled(a.unionByName(table(spark, sf, "bajas").select("licitacion_id", F.col("fuente").alias("origen")), allowMissingColumns=True), {"estado": "sin decidir", "favorita": False, "origen": "—"})
+
+
+@query("SELECT d.licitacion_id FROM decisiones d WHERE d.licitacion_id NOT IN (SELECT licitacion_id FROM licitaciones)")
+def d9_stale_rows(spark, sf):
+    """Hydrated rows whose notice is gone."""
+    return table(spark, sf, "decisiones").select("licitacion_id").join(table(spark, sf, "licitaciones").select("licitacion_id").distinct(), "licitacion_id", "left_anti")
+
+
+@query(f"""
+SELECT strftime(fecha_publicacion, '%Y-%m') AS periodo, count(*) AS n, sum(strlen(coalesce(titulo, '')) + strlen(coalesce(objeto, '')) + strlen(coalesce(organo_contratacion, '')))::BIGINT AS bytes,
+       round(sum(strlen(coalesce(titulo, '')) + strlen(coalesce(objeto, '')) + strlen(coalesce(organo_contratacion, ''))) * 1.75)::BIGINT AS con_indices FROM {_LATEST} GROUP BY 1""")
+def a5_a6_bytes_by_period(spark, sf):
+    """Bytes of the texts by month of publication, and with three quarters on top for indexes."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in ("titulo", "objeto", "organo_contratacion")), F.lit(0))
+    c = catalogue_of(spark, sf).groupBy(F.date_format("fecha_publicacion", "yyyy-MM").alias("periodo")).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes"))
+    return c.withColumn("con_indices", F.round(F.col("bytes").cast("decimal(20,2)") * F.lit("1.75").cast("decimal(4,2)"), 0).cast("long"))
+
+
+@query(f"""
+SELECT licitacion_id FROM {_LATEST} WHERE NOT coalesce(fecha_publicacion < {TS} - INTERVAL 1 YEAR AND (fecha_fin_plazo IS NULL OR fecha_fin_plazo < {TS})
+AND licitacion_id NOT IN (SELECT licitacion_id FROM decisiones), false)""")
+def k17_kept_after_purge(spark, sf):
+    """What a purge leaves: a null publication date keeps a notice, as does a decision on it."""
+    now = F.lit(AS_OF).cast("timestamp_ntz")
+    old = (F.col("fecha_publicacion") < F.lit(AS_OF.replace(year=AS_OF.year - 1)).cast("timestamp_ntz")) & (F.col("fecha_fin_plazo").isNull() | (F.col("fecha_fin_plazo") < now))
+    return merge.purge(catalogue_of(spark, sf), "licitacion_id", old, [table(spark, sf, "decisiones")])[0].select("licitacion_id")
