@@ -90,6 +90,11 @@ def fold(c) -> Column:
     return unaccented(F.lower(col(c)))
 
 
+def plain_word(word: str) -> str:
+    """``fold`` of a text on the driver."""
+    return "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
+
+
 def fold_compat(c) -> Column:
     """Lower case without accents, compatibility characters as what they stand for (ª as a, ﬁ as fi, full-width letters as plain ones)."""
     t = F.lower(col(c))

@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoneda.functions.normalize import file_number, fold, fold_compat
+from almoneda.functions.normalize import file_number, fold, fold_compat, plain_word
+from almoneda.functions.spanish import lexeme, lexemes
 
 CAP, PAGE = 5000, 25
 SORTS = ("fecha_fin_plazo", "fecha_publicacion", "valor_estimado")
@@ -39,20 +40,28 @@ def tokens(*columns: str) -> Column:
     return F.regexp_extract_all(fold(text), F.lit(r"([\p{L}\p{N}_]+|\x01)"), F.lit(1))
 
 
-def matches(words: Column, query: str) -> Column:
-    """Whether an array of folded words matches the query. An empty query matches all."""
+def matches(words: Column, query: str, stems: bool = False) -> Column:
+    """Whether an array of folded words matches the query; with ``stems`` an array of lexemes, and stop words ask for nothing. An empty query
+    matches all."""
 
-    def has(ws: list[str]) -> Column:
-        plain = [fold(F.lit(w)) for w in ws]
-        found = reduce(lambda a, b: a & b, [F.array_contains(words, w) for w in plain])
+    def has(ws: list[str]) -> Column | None:
+        said = [lexeme(plain_word(w)) for w in ws] if stems else ws
+        asked = [w for w in said if w]
+        if not asked:
+            return None
+        plain = [F.lit(w) if stems else fold(F.lit(w)) for w in said]
+        found = reduce(lambda a, b: a & b, [F.array_contains(words, F.lit(w) if stems else fold(F.lit(w))) for w in asked])
         return found if len(ws) == 1 else found & F.contains(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), F.concat(F.lit(" "), F.concat_ws(" ", *plain), F.lit(" ")))
 
     groups: list[Column] = []
     for kind, ws in text_terms(query):
+        c = has(ws)
+        if c is None:
+            continue
         if kind == "or" and groups:
-            groups[-1] = groups[-1] | has(ws)
+            groups[-1] = groups[-1] | c
         else:
-            groups.append(~has(ws) if kind == "not" else has(ws))
+            groups.append(~c if kind == "not" else c)
     return reduce(lambda a, b: a & b, groups, F.lit(True))
 
 
@@ -62,9 +71,11 @@ def has_prefix(codes: str, prefixes: list[str]) -> Column:
 
 @dataclass
 class Search:
-    """What to look for; what is None or empty doesn't filter. ``as_of`` stands for now."""
+    """What to look for; what is None or empty doesn't filter. ``as_of`` stands for now. ``lexemas`` names a column of lexemes, written with the
+    catalogue, that texts are looked for in; without one, whole words are."""
 
     texto: str = ""
+    lexemas: str = ""
     prefijos: list[str] = field(default_factory=list)
     codigos: list[str] = field(default_factory=list)
     expediente: str = ""
@@ -86,7 +97,7 @@ class Search:
     def predicate(self) -> Column:
         c: list[Column] = []
         if self.texto.strip():
-            c.append(matches(tokens("titulo", "objeto", "organo_contratacion"), self.texto))
+            c.append(matches(F.col(self.lexemas), self.texto, True) if self.lexemas else matches(tokens("titulo", "objeto", "organo_contratacion"), self.texto))
         if self.prefijos:
             c.append(F.coalesce(has_prefix("cpv", self.prefijos), F.lit(False)))
         if self.codigos:
@@ -116,6 +127,11 @@ class Search:
         return [by.desc_nulls_last() if self.descendente else by.asc_nulls_last(), F.col("licitacion_id").asc()]
 
 
+def with_lexemes(df: DataFrame, name: str = "lexemas") -> DataFrame:
+    """Adds the lexemes of title, object and buyer, for a catalogue that is about to be written."""
+    return df.withColumn(name, lexemes(tokens("titulo", "objeto", "organo_contratacion")))
+
+
 def hits(df: DataFrame, s: Search) -> DataFrame:
     return df.where(s.predicate())
 

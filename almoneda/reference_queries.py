@@ -73,8 +73,9 @@ def catalogue_of(spark: SparkSession, sf: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _KEPT or not Files(spark, _KEPT[key]).exists(_KEPT[key]):
         _KEPT[key] = fresh_path(spark, "catalogue")
-        latest(spark, sf, *SEARCHED).repartitionByRange("fecha_publicacion", "licitacion_id").sortWithinPartitions("fecha_publicacion").write.parquet(_KEPT[key])
-    return spark.read.schema(latest(spark, sf, *SEARCHED).schema).parquet(_KEPT[key])
+        ordered = latest(spark, sf, *SEARCHED).repartitionByRange("fecha_publicacion", "licitacion_id").sortWithinPartitions("fecha_publicacion")
+        search.with_lexemes(ordered).write.parquet(_KEPT[key])
+    return spark.read.schema(search.with_lexemes(latest(spark, sf, *SEARCHED)).schema).parquet(_KEPT[key])
 
 
 #: What a search can filter on or show.

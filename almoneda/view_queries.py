@@ -188,6 +188,12 @@ for _mode, _states in {"total": "'desierta_total'", "parcial": "'desierta_parcia
     SQL[f"f10_deserted_{_mode}"] = f"SELECT licitacion_id FROM {_LATEST} WHERE estado_adjudicacion IN ({_states})"
 
 
+@query()
+def f6_stems(spark, sf):
+    """Full text by stems, without stop words: singular and plural, noun and adjective meet."""
+    return search.hits(catalogue_of(spark, sf), Search(texto='obras de conservación OR limpieza -"zonas verdes"', lexemas="lexemas", estado="todas")).select("licitacion_id", "titulo")
+
+
 @query("SELECT ficha_id, n FROM (SELECT ficha_id, row_number() OVER (ORDER BY importe_total_sin_iva DESC NULLS LAST, cif, ficha_id) AS n FROM competidores WHERE contains(strip_accents(upper(nombre_busqueda)), 'SL')) WHERE n <= 50")
 def f22_o4_name_search(spark, sf):
     from pyspark.sql import Window

@@ -220,3 +220,15 @@ def test_views(spark):
         views.point(dup, "k", 1).collect()
     r = spark.createDataFrame([("ﬁn º ÁÑő a\u0301", "1.234,5")], "a string, b string").select(n.fold_compat("a"), n.fold("a"), n.slug("a"), n.decimal_comma(F.lit(" 12,5 ")), n.spanish_amount(F.lit("1234.5")), n.first_year(F.lit("20x4"), F.lit("2023-01-01")), n.first_year(F.lit(None).cast("string"))).first()
     assert tuple(map(str, r)) == ("fin o ano a", "ﬁn º ano a", "fin-o-ano-a", "12.50", "1.234,50 €", "2023", "s/f")
+
+
+def test_stems_and_stop_words(spark):
+    from almoneda.functions.spanish import lexeme, stem
+    from almoneda.operators.search import hits, with_lexemes
+
+    pairs = {"limpiezas": "limpiez", "limpieza": "limpiez", "adjudicaciones": "adjud", "rápidamente": "rapid", "obras": "obras", "obra": "obra", "contratos": "contrat", "contrato": "contrat", "suministrando": "suministr", "telefonía": "telefon", "evidencias": "evident", "sol": "sol", "actividades": "activ", "comprarlo": "compr"}
+    assert {w: stem(w) for w in pairs} == pairs and lexeme("de") == "" and stem("") == ""
+    t = with_lexemes(spark.createDataFrame([("Contratos de conservación", None, "Ayto"), ("El contrato conservado", "limpiezas", "X"), (None, None, None), ("Contrato menor", "", "")], "titulo string, objeto string, organo_contratacion string"))
+    ask = lambda q: [r.titulo for r in hits(t, Search(texto=q, lexemas="lexemas", estado="todas")).collect()]
+    assert ask("contrato") == ["Contratos de conservación", "El contrato conservado", "Contrato menor"] and ask("limpieza de") == ["El contrato conservado"]
+    assert ask('"contrato de conservacion"') == ["Contratos de conservación"] and len(ask("de la")) == 4 and ask("contratos -limpieza menor") == ["Contrato menor"]
