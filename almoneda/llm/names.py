@@ -83,6 +83,11 @@ def ends_whole(text: str, company: bool) -> bool:
     return form_at(tokens)[0] is not None if company else len(tokens) >= 3
 
 
+def is_filler(word: str) -> bool:
+    """Words that reading passes over: linking ones, and what stands about a legal form."""
+    return word in _LINKING or word in _TAILS
+
+
 class Name(NamedTuple):
     trade: str | None
     words: tuple[str, ...]
